@@ -303,7 +303,9 @@ def q1_dataframe(spark, sf_dir):
 
 
 def q1_csv_source(spark, sf_dir):
-    return monthly.top_months(read_incidents(spark, StagedFiles.of(spark, sf_dir).csv, "csv"))
+    header = [field.header for field in INCIDENTS]
+    files = StagedFiles.of(spark, sf_dir).csv
+    return monthly.top_months(read_incidents(spark, files, "csv", header))
 
 
 def q1_parquet_source(spark, sf_dir):

@@ -6,7 +6,7 @@ and DuckDB read; ``//`` is integer division and becomes ``div`` for Spark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.clean import REPORT_TS_PATTERN, parse_money
@@ -15,6 +15,16 @@ from blotter.sources.etl import csv_to_parquet
 from blotter.sources.scan import CSV_DIALECT
 from blotter.sources.scratch import new_folder
 
+# Stated, so that reading a table starts no job to look them up.
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
 YEAR = 1997
 
 # Reports before this date make the first of the two incident files.
@@ -94,15 +104,19 @@ def select_list(columns: dict[str, str]) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derive(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*(spark_expr(text).alias(name) for name, text in columns.items()))
+    return df.selectExpr(*(spark_sql(f"{text} AS {name}") for name, text in columns.items()))
+
+
+def spark_expr(text: str) -> Column:
+    return F.expr(spark_sql(text))
 
 
-def spark_expr(text: str):
-    return F.expr(text.replace("//", "div"))
+def spark_sql(text: str) -> str:
+    return text.replace("//", "div")
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

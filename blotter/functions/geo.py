@@ -11,15 +11,13 @@ EARTH_RADIUS_KM = 6371.0
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Distance in kilometres between two points in degrees; null if any coordinate is null."""
-    half_dlat = (F.radians(lat2) - F.radians(lat1)) / 2
-    half_dlon = (F.radians(lon2) - F.radians(lon1)) / 2
-    chord = F.pow(F.sin(half_dlat), 2) + F.cos(F.radians(lat1)) * F.cos(
-        F.radians(lat2)
-    ) * F.pow(F.sin(half_dlon), 2)
-    # Rounding can lift the chord of antipodal points just over 1, which would make the root NaN.
-    # The null guard is needed because least() skips nulls.
-    bounded = F.when(chord.isNotNull(), F.least(chord, F.lit(1.0)))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(bounded), F.sqrt(1 - bounded))
+    half_dlat = F.radians(lat2 - lat1) / 2
+    half_dlon = F.radians(lon2 - lon1) / 2
+    across = F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
+    chord = F.pow(F.sin(half_dlat), 2) + across * F.pow(F.sin(half_dlon), 2)
+    # Rounding can lift the chord of antipodal points just over 1, which would make a root NaN.
+    bounded = F.when(chord > 1, 1.0).otherwise(chord)
+    return F.atan2(F.sqrt(bounded), F.sqrt(1 - bounded)) * (2 * EARTH_RADIUS_KM)
 
 
 def haversine_km_float(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

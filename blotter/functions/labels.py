@@ -64,5 +64,5 @@ def part_of_day(
 
 def descent_label(code: Column) -> Column:
     """Label of a descent code, ignoring blanks around it."""
-    pairs = [F.lit(text) for pair in DESCENT_LABELS.items() for text in pair]
-    return F.coalesce(F.create_map(*pairs)[F.trim(code)], F.lit(NO_DESCENT))
+    pairs = ", ".join(f"'{key}', '{label}'" for key, label in DESCENT_LABELS.items())
+    return F.coalesce(F.expr(f"map({pairs})")[F.trim(code)], F.lit(NO_DESCENT))

@@ -27,7 +27,7 @@ def measure_bytes(df: DataFrame) -> int:
     measured = df.agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(_variable_bytes(df.schema)), F.lit(0)).alias("variable"),
-    ).first()
+    ).collect()[0]
     return measured["rows"] * per_row + measured["variable"]
 
 
