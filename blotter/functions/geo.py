@@ -15,9 +15,10 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_dlon = F.radians(lon2 - lon1) / 2
     across = F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
     chord = F.pow(F.sin(half_dlat), 2) + across * F.pow(F.sin(half_dlon), 2)
-    # Rounding can lift the chord of antipodal points just over 1, which would make a root NaN.
-    bounded = F.when(chord > 1, 1.0).otherwise(chord)
-    return F.atan2(F.sqrt(bounded), F.sqrt(1 - bounded)) * (2 * EARTH_RADIUS_KM)
+    # Rounding can lift the chord of antipodal points just over 1. A branch here would keep Spark from
+    # computing the chord once for both roots.
+    rest = F.greatest(1 - chord, F.lit(0.0))
+    return F.atan2(F.sqrt(chord), F.sqrt(rest)) * (2 * EARTH_RADIUS_KM)
 
 
 def haversine_km_float(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

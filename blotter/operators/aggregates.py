@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def count_by_month(df: DataFrame, ts: str = "date_rptd", total: str = "crime_total") -> DataFrame:
-    """Rows per year and month. Rows without a date are counted under a null year and month."""
-    return df.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month")).agg(
-        F.count("*").alias(total)
+    """Rows per year and month. Rows without a date are counted under a null year and month.
+
+    Rows are grouped by the first day of their month, so that a row's date is taken apart once.
+    """
+    counts = df.groupBy(F.trunc(ts, "MM").alias("first_day")).agg(F.count("*").alias(total))
+    return counts.select(
+        F.year("first_day").alias("year"), F.month("first_day").alias("month"), total
     )
 
 

@@ -27,9 +27,12 @@ def top_months_sql(spark: SparkSession, incidents: DataFrame, n: int = 3) -> Dat
                 *,
                 row_number() OVER (PARTITION BY year ORDER BY crime_total DESC, month) AS rank
             FROM (
-                SELECT year(date_rptd) AS year, month(date_rptd) AS month, count(*) AS crime_total
-                FROM {incidents}
-                GROUP BY ALL
+                SELECT year(first_day) AS year, month(first_day) AS month, crime_total
+                FROM (
+                    SELECT trunc(date_rptd, 'MM') AS first_day, count(*) AS crime_total
+                    FROM {incidents}
+                    GROUP BY ALL
+                )
             )
         )
         WHERE rank <= {n}
