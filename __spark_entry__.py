@@ -287,7 +287,8 @@ def geo_haversine_float(spark, sf_dir):
     distance = haversine_km_float(*(F.col(name) for name in ("lat", "lon", "y", "x")))
     joined = _with_stations(spark, sf_dir)
     known = joined.filter(has_known_position(F.col("lat"), F.col("lon")))
-    means = known.groupBy("division").agg(F.avg(distance).alias("average_distance"))
+    distances = known.select("division", distance.alias("distance"))
+    means = distances.groupBy("division").agg(F.avg("distance").alias("average_distance"))
     return _rounded(means, "average_distance", 4)
 
 
@@ -329,6 +330,10 @@ def q3_sql(spark, sf_dir):
     return descent.descent_counts_sql(spark, *_q3_tables(spark, sf_dir), fx.YEAR)
 
 
+def q3_bottom_sql(spark, sf_dir):
+    return descent.descent_counts_sql(spark, *_q3_tables(spark, sf_dir), fx.YEAR, "bottom")
+
+
 def _q3(end: str, strategy: str) -> Query:
     def run(spark, sf_dir):
         return descent.descent_counts(*_q3_tables(spark, sf_dir), fx.YEAR, end, strategy)
@@ -405,6 +410,7 @@ _QUERIES = (
     q2_sql,
     q2_dataframe,
     q3_sql,
+    q3_bottom_sql,
     q4_dataframe,
     q4_broadcast,
     q4_repartition,

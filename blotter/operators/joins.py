@@ -94,8 +94,13 @@ def keep_last(lookup: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
     return top_n_per_group(lookup, [key], last_first, 1, rank).drop(rank)
 
 
-def restrict_to(facts: DataFrame, chosen: DataFrame, on: str, strategy: str = "broadcast") -> DataFrame:
-    """Facts whose key is among the chosen ones; a key chosen twice does not repeat a fact."""
+def restrict_to(
+    facts: DataFrame, chosen: DataFrame, on: str, strategy: str = "default"
+) -> DataFrame:
+    """Facts whose key is among the chosen ones; a key chosen twice does not repeat a fact.
+
+    Keys chosen by a limit are broadcast without a measurement, as Spark knows how few they are.
+    """
     return equi_join(facts, chosen.select(on), on, strategy, how="left_semi")
 
 
@@ -106,7 +111,9 @@ def unmatched(
     return equi_join(facts, lookup.select(on), on, strategy, how="left_anti")
 
 
-def unmatched_counts(facts: DataFrame, lookup: DataFrame, on: str, total: str = "count") -> DataFrame:
+def unmatched_counts(
+    facts: DataFrame, lookup: DataFrame, on: str, total: str = "count"
+) -> DataFrame:
     """How many facts each key has that the lookup lacks. The facts are counted before the join, so
     only one row per key and task is shuffled."""
     counted = facts.groupBy(on).agg(F.count("*").alias(total))

@@ -63,7 +63,9 @@ def zip_profile(
     )
 
 
-def descents_at_end(profile: DataFrame, end: str, k: int = 3, skip_nulls: bool = False) -> DataFrame:
+def descents_at_end(
+    profile: DataFrame, end: str, k: int = 3, skip_nulls: bool = False
+) -> DataFrame:
     """Incidents per descent in the ``k`` ZIPs of highest (``top``) or lowest (``bottom``) income.
 
     ZIPs of unknown income come first at the bottom unless ``skip_nulls``.
@@ -98,17 +100,24 @@ def descent_counts(
 
 
 def descent_counts_sql(
-    spark: SparkSession, incidents: DataFrame, geocode: DataFrame, income: DataFrame, year: int, k: int = 3
+    spark: SparkSession,
+    incidents: DataFrame,
+    geocode: DataFrame,
+    income: DataFrame,
+    year: int,
+    end: str = "top",
+    k: int = 3,
 ) -> DataFrame:
-    """The whole analysis as SQL, for the ZIPs of highest income."""
+    """The whole analysis as SQL."""
+    order = {"top": "avg_income DESC NULLS LAST", "bottom": "avg_income ASC NULLS FIRST"}[end]
     return spark.sql(
-        """
+        f"""
         WITH places AS (
-            SELECT lat, lon, descent, count(*) AS incidents FROM {facts} GROUP BY ALL
+            SELECT lat, lon, descent, count(*) AS incidents FROM {{facts}} GROUP BY ALL
         ), cells AS (
-            SELECT lat, lon, zip, count(*) AS copies FROM {geocode} GROUP BY ALL
+            SELECT lat, lon, zip, count(*) AS copies FROM {{geocode}} GROUP BY ALL
         ), incomes AS (
-            SELECT zip, avg(income) AS avg_income, count(*) AS entries FROM {income} GROUP BY zip
+            SELECT zip, avg(income) AS avg_income, count(*) AS entries FROM {{income}} GROUP BY zip
         ), by_zip AS (
             SELECT zip, descent, sum(incidents * copies) AS incidents
             FROM places JOIN cells USING (lat, lon)
@@ -120,12 +129,12 @@ def descent_counts_sql(
                 collect_list(struct(descent, incidents * entries AS count)) AS descents
             FROM by_zip JOIN incomes USING (zip)
             GROUP BY zip, avg_income
-            ORDER BY avg_income DESC NULLS LAST, zip
-            LIMIT {k}
+            ORDER BY {order}, zip
+            LIMIT {{k}}
         )
         SELECT descent, sum(count) AS count
         FROM (SELECT inline(descents) FROM chosen)
-        WHERE descent NOT IN ({no_descent})
+        WHERE descent NOT IN ({{no_descent}})
         GROUP BY descent
         ORDER BY count DESC, descent
         """,

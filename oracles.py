@@ -299,6 +299,7 @@ ORACLES = {
     "q2_sql": _STREET_PARTS,
     "q2_dataframe": _STREET_PARTS,
     "q3_sql": _TOP_DESCENTS,
+    "q3_bottom_sql": _BOTTOM_DESCENTS,
     **{
         f"q3_{end}_{strategy}": sql
         for end, sql in (("top", _TOP_DESCENTS), ("bottom", _BOTTOM_DESCENTS))

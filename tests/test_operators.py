@@ -157,6 +157,11 @@ def test_restrict_and_unmatched(spark, facts, lookup):
     assert counted == missing
 
 
+def test_keys_chosen_by_a_limit_are_broadcast(facts, lookup):
+    restricted = restrict_to(facts, lookup.orderBy("v").limit(3), "k")
+    assert "BroadcastHashJoin" in plan_of(restricted) and "LeftSemi" in plan_of(restricted)
+
+
 def test_unmatched_counts_before_it_joins(facts, lookup):
     plan = plan_of(unmatched_counts(facts, lookup, "k"))
     assert plan.index("LeftAnti") < plan.index("HashAggregate")

@@ -145,8 +145,9 @@ def test_descents_from_one_profile(spark, incidents, geocode, income):
         assert tuples(found) == expected_descents(incidents, geocode, income, end, k, skip)
     with pytest.raises(ValueError, match="end"):
         descent.descents_at_end(profile, "middle")
-    sql = descent.descent_counts_sql(spark, incidents, geocode, income, 2015)
-    assert tuples(sql) == expected_descents(incidents, geocode, income, "top")
+    for end in ("top", "bottom"):
+        sql = descent.descent_counts_sql(spark, incidents, geocode, income, 2015, end)
+        assert tuples(sql) == expected_descents(incidents, geocode, income, end)
 
 
 def test_profile_means_are_those_of_the_joined_rows(incidents, geocode, income):
