@@ -154,9 +154,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "nation"), STATION_COLUMNS)
 
 
-def incident_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incidents as the source files hold them: source headers, every value text."""
-    typed = incidents(spark, sf_dir)
+def incident_text(typed: DataFrame) -> DataFrame:
+    """Incidents as the source files hold them: source headers, every value text."""
     unreadable = F.when(F.col("dr_no") % 2 == 1, "n/a")
     text = {field.name: F.col(field.name).cast("string") for field in INCIDENTS}
     text["date_rptd"] = F.date_format("date_rptd", REPORT_TS_PATTERN)
@@ -177,10 +176,10 @@ class StagedFiles:
         self.parquet = [f"{folder}/parquet/first", f"{folder}/parquet/second"]
         self.all_csv = f"{folder}/csv/*"
         self.all_parquet = f"{folder}/parquet/*"
-        first = F.to_timestamp("Date Rptd", REPORT_TS_PATTERN) < F.lit(SPLIT_DATE)
-        rows = incident_text(spark, sf_dir)
+        typed = incidents(spark, sf_dir)
+        first = F.col("date_rptd") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
         for path, part in zip(self.csv, (first, ~first)):
-            rows.filter(part).write.options(
+            incident_text(typed.filter(part)).write.options(
                 header=True,
                 ignoreLeadingWhiteSpace=False,
                 ignoreTrailingWhiteSpace=False,

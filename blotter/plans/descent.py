@@ -55,6 +55,7 @@ def zip_profile(
         .groupBy("zip", "descent")
         .agg(F.sum(F.col("incidents") * F.col("copies")).alias("incidents"))
     )
+    # A list holds one entry per label, so its length is bounded however many incidents a ZIP has.
     entry = F.struct("descent", (F.col("incidents") * F.col("entries")).alias("count"))
     return (
         equi_join(by_zip, incomes, "zip", strategy, **_SALTS)
