@@ -179,13 +179,18 @@ def _with_stations(spark, sf_dir, strategy="broadcast"):
 
 
 def _year_facts(spark, sf_dir):
-    """Rows of the fixture year with ZIP and income."""
+    """Incidents of the fixture year with their label."""
     incidents = fx.incidents(spark, sf_dir)
     in_fixture_year = incidents.filter(in_year(F.col("date_rptd"), fx.YEAR))
-    facts = in_fixture_year.select(
+    return in_fixture_year.select(
         "dr_no", "lat", "lon", descent_label(F.col("vict_descent")).alias("descent")
     )
-    return descent.geocoded_facts(facts, fx.geocode(spark, sf_dir), fx.income(spark, sf_dir))
+
+
+def _geocoded_year_facts(spark, sf_dir):
+    """The same with ZIP and income."""
+    lookups = fx.geocode(spark, sf_dir), fx.income(spark, sf_dir)
+    return descent.geocoded_facts(_year_facts(spark, sf_dir), *lookups)
 
 
 def join_geocode(spark, sf_dir):
@@ -223,7 +228,12 @@ def join_unmatched_areas(spark, sf_dir):
 
 
 def q3_zip_subset_join(spark, sf_dir):
-    facts = _year_facts(spark, sf_dir)
+    lookups = fx.geocode(spark, sf_dir), fx.income(spark, sf_dir)
+    return descent.geocoded_facts_at_end(_year_facts(spark, sf_dir), *lookups, "top")
+
+
+def join_restrict_to(spark, sf_dir):
+    facts = _geocoded_year_facts(spark, sf_dir)
     return restrict_to(facts, descent.top_zips(facts), "zip")
 
 
@@ -239,7 +249,7 @@ def agg_count_by_label(spark, sf_dir):
 
 
 def agg_avg_income_by_zip(spark, sf_dir):
-    return _rounded(average_income_by_zip(_year_facts(spark, sf_dir)), "avg_income")
+    return _rounded(average_income_by_zip(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
 
 def agg_row_count(spark, sf_dir):
@@ -257,15 +267,15 @@ def rank_top_n_per_group(spark, sf_dir):
 
 
 def topk_zip_income(spark, sf_dir):
-    return _rounded(descent.top_zips(_year_facts(spark, sf_dir)), "avg_income")
+    return _rounded(descent.top_zips(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
 
 def bottomk_zip_income(spark, sf_dir):
-    return _rounded(descent.bottom_zips(_year_facts(spark, sf_dir)), "avg_income")
+    return _rounded(descent.bottom_zips(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
 
 def bottomk_zip_known_income(spark, sf_dir):
-    facts = _year_facts(spark, sf_dir)
+    facts = _geocoded_year_facts(spark, sf_dir)
     return _rounded(descent.bottom_zips(facts, skip_nulls=True), "avg_income")
 
 
@@ -391,6 +401,7 @@ _QUERIES = (
     join_unmatched,
     join_unmatched_areas,
     q3_zip_subset_join,
+    join_restrict_to,
     agg_count_by_month,
     agg_count_by_label,
     agg_avg_income_by_zip,

@@ -37,13 +37,16 @@ def equi_join(
     salts: int = DEFAULT_SALTS,
     salt_by: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    part_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns; each key column appears once in the result.
 
     A key may hold any share of the facts. ``broadcast`` and ``replicate`` do not shuffle facts by
     key alone; the other strategies leave such a key to adaptive skew handling. ``how`` may be
     ``inner``, ``left_semi`` or ``left_anti``. For ``salts`` and ``salt_by`` see ``_replicate``.
-    ``broadcast`` measures the lookup when it is called, which runs a job over the lookup.
+    ``broadcast`` measures the lookup when it is called, which runs a job over the lookup. Where the
+    lookup takes long to compute and holds only rows of a stored table, pass that table as
+    ``part_of``: it is measured instead, as the lookup cannot be larger.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left_semi", "left_anti"):
@@ -51,7 +54,7 @@ def equi_join(
     if strategy == "default":
         return facts.join(lookup, keys, how)
     if strategy == "broadcast":
-        size = measure_bytes(lookup)
+        size = measure_bytes(lookup if part_of is None else part_of)
         if size <= broadcast_limit:
             return facts.join(F.broadcast(lookup), keys, how)
         affordable = min(salts, REPLICATE_LIMIT_BYTES // size)

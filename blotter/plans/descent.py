@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from blotter.functions.labels import NO_DESCENT, descent_label
 from blotter.operators.aggregates import average_income_by_zip
 from blotter.operators.filters import in_year, without_labels
-from blotter.operators.joins import equi_join
+from blotter.operators.joins import equi_join, restrict_to
 from blotter.operators.ranking import bottom_k, sort_by_count, top_k
 
 # A counted place or ZIP has at most one row per descent label, so few salts are enough.
@@ -36,6 +36,21 @@ def geocoded_facts(
     return equi_join(placed, income, "zip", strategy)
 
 
+def geocoded_facts_at_end(
+    facts: DataFrame, geocode: DataFrame, income: DataFrame, end: str, k: int = 3
+) -> DataFrame:
+    """The geocoded facts of the ``k`` ZIPs at one end of the income scale.
+
+    The lookups are cut down to those ZIPs first, so a fact elsewhere is dropped by the first join. The
+    facts are scanned twice, the first time only to be counted.
+    """
+    chosen = zips_at_end(zip_profile(facts, geocode, income), end, k).select("zip")
+    cells = restrict_to(geocode, chosen, "zip")
+    placed = equi_join(facts, cells, ["lat", "lon"], "broadcast", part_of=geocode)
+    entries = restrict_to(income, chosen, "zip")
+    return equi_join(placed, entries, "zip", "broadcast", part_of=income)
+
+
 def zip_profile(
     facts: DataFrame, geocode: DataFrame, income: DataFrame, strategy: str = "default"
 ) -> DataFrame:
@@ -64,6 +79,17 @@ def zip_profile(
     )
 
 
+def zips_at_end(
+    profile: DataFrame, end: str, k: int = 3, skip_nulls: bool = False
+) -> DataFrame:
+    """The ``k`` rows of the profile of highest (``top``) or lowest (``bottom``) income."""
+    if end == "top":
+        return top_k(profile, "avg_income", k, ["zip"])
+    if end == "bottom":
+        return bottom_k(profile, "avg_income", k, ["zip"], skip_nulls)
+    raise ValueError(f"unknown end {end!r}: expected top or bottom")
+
+
 def descents_at_end(
     profile: DataFrame, end: str, k: int = 3, skip_nulls: bool = False
 ) -> DataFrame:
@@ -71,14 +97,9 @@ def descents_at_end(
 
     ZIPs of unknown income come first at the bottom unless ``skip_nulls``.
     """
-    if end == "top":
-        chosen = top_k(profile, "avg_income", k, ["zip"])
-    elif end == "bottom":
-        chosen = bottom_k(profile, "avg_income", k, ["zip"], skip_nulls)
-    else:
-        raise ValueError(f"unknown end {end!r}: expected top or bottom")
     counts = (
-        chosen.select(F.inline("descents"))
+        zips_at_end(profile, end, k, skip_nulls)
+        .select(F.inline("descents"))
         .filter(without_labels(F.col("descent"), NO_DESCENT))
         .groupBy("descent")
         .agg(F.sum("count").alias("count"))

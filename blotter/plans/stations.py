@@ -48,7 +48,7 @@ def station_distances_keep_last(
     """As above, but of stations with one key only the last in ``order`` counts, and stations
     without a known position are left out."""
     single = keep_last(by_area(stations), "area", order)
-    joined = equi_join(armed_incidents(incidents), single, "area", strategy)
+    joined = equi_join(armed_incidents(incidents), single, "area", strategy, part_of=stations)
     return _summary(joined.filter(_all_known()))
 
 

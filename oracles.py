@@ -235,6 +235,11 @@ ORACLES = {
         "SELECT f.* FROM facts f JOIN chosen c ON f.zip = c.zip",
         f"{_FACTS}, chosen AS ({_TOP_ZIPS})",
     ),
+    "join_restrict_to": _with(
+        _FACT_TABLES,
+        "SELECT * FROM facts WHERE zip IN (SELECT zip FROM chosen)",
+        f"{_FACTS}, chosen AS ({_TOP_ZIPS})",
+    ),
     # aggregates and ranking
     "agg_count_by_month": _with("incidents", "SELECT * FROM months", _MONTHS),
     "agg_count_by_label": _with(

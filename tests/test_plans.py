@@ -160,6 +160,17 @@ def test_profile_means_are_those_of_the_joined_rows(incidents, geocode, income):
             assert row.avg_income == (None if mean is None else pytest.approx(mean))
 
 
+def test_geocoded_facts_at_end(spark, incidents, geocode, income):
+    facts = descent.labelled_facts(incidents, 2015)
+    joined = descent.geocoded_facts(facts, geocode, income)
+    for end, pick in (("top", descent.top_zips), ("bottom", descent.bottom_zips)):
+        chosen = {row.zip for row in pick(joined).collect()}
+        expected = Counter(tuple(row) for row in joined.collect() if row.zip in chosen)
+        found = descent.geocoded_facts_at_end(facts, geocode, income, end)
+        assert found.columns == joined.columns
+        assert Counter(tuples(found)) == expected
+
+
 def test_descents_scan_incidents_once_and_join_as_asked(spark):
     tables = [table(spark, SF_DIR) for table in (fixtures.incidents, fixtures.geocode, fixtures.income)]
     nodes = {
