@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,3 +75,8 @@ def free_name(taken: Sequence[str], name: str) -> str:
     while name.lower() in used:
         name = f"_{name}"
     return name
+
+
+def ship(module: str) -> None:
+    """Send the functions of ``module`` to Python workers by value: executors need not have it."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
