@@ -32,6 +32,20 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(staged: DataFrame) -> DataFrame:
+    """A staged table with ``file`` and ``position``, which name each of its rows, repeated or not."""
+    return staged.select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("position"),
+    )
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as the struct ``row``, where their names can't clash with others."""
+    return F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("row")
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
@@ -69,14 +83,6 @@ def attach(
     return salted_rows.join(salted_lookup, [*keys, "__salt"], how).drop("__salt")
 
 
-def free_name(taken: Sequence[str], name: str) -> str:
-    """``name`` with as many underscores before it as no column of ``taken`` has, in any case."""
-    used = {column.lower() for column in taken}
-    while name.lower() in used:
-        name = f"_{name}"
-    return name
-
-
 def ship(module: str) -> None:
     """Send the functions of ``module`` to Python workers by value: executors need not have it."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

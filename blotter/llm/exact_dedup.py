@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WHITE, attach, table
+from blotter.llm.common import WHITE, attach, located, table, whole_row
 from blotter.sources.scratch import new_folder
 
 _LOCATOR = ["file", "position"]
@@ -64,28 +64,27 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     path = new_folder(spark)
-    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
     sha256 = F.sha2(normalised(F.col(f"`{text_col}`")), 256)
     docs.select(
-        row,
+        whole_row(docs),
         F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).cast("long").alias("n_chars"),
         sha256.alias("text_sha256"),
     ).write.parquet(path)
-    located = _with_locator(spark.read.parquet(path))
-    rows = located.select(
+    store = located(spark.read.parquet(path))
+    rows = store.select(
         *_LOCATOR,
         F.col(f"row.`{id_col}`").alias("id"),
         "n_chars",
         "text_sha256",
         digest_of(F.col("text_sha256")).alias("digest"),
     )
-    content = located.select(
+    content = store.select(
         *_LOCATOR,
         digest_of(F.col("text_sha256")).alias("digest"),
         normalised(F.col(f"row.`{text_col}`")).alias("content"),
     )
     if rows.isEmpty():
-        return Dedup(_decide(rows, rows.groupBy("digest").agg(*_entry()), ["digest"]), located)
+        return Dedup(_decide(rows, rows.groupBy("digest").agg(*_entry()), ["digest"]), store)
 
     groups = _stream_state(spark, path, rows.columns, id_col, digest_of, files_per_batch)
     collided = _differing(content, groups.filter("group_size > 1")).persist()
@@ -97,15 +96,7 @@ def exact_dedup(
         decided = _decide(rows.join(collided, "digest", "left_anti"), groups, ["digest"]).unionByName(
             _decide(exact, by_bytes, ["digest", "content"])
         )
-    return Dedup(decided, located)
-
-
-def _with_locator(store: DataFrame) -> DataFrame:
-    return store.select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("position"),
-    )
+    return Dedup(decided, store)
 
 
 def _entry() -> list[Column]:
@@ -137,7 +128,7 @@ def _stream_state(
         reader = spark.readStream.schema(spark.read.parquet(path).schema)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        arriving = _with_locator(reader.parquet(path)).select(
+        arriving = located(reader.parquet(path)).select(
             *_LOCATOR,
             F.col(f"row.`{id_col}`").alias("id"),
             "n_chars",

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WORD, attach, stage, table
+from blotter.llm.common import WORD, attach, stage, table, whole_row
 
 #: Hash bits, and bits a histogram tells apart: six levels at most, of 1024 buckets a source.
 HASH_BITS = 60
@@ -122,7 +122,6 @@ def mix(
     With ``carry``, also ``row``, a struct of the input's columns."""
     text = F.col(f"`{text_col}`")
     source = F.col(f"`{source_col}`")
-    columns = [F.col(f"`{name}`") for name in docs.columns]
     read = stage(
         docs.select(
             F.col(f"`{id_col}`").alias("id"),
@@ -131,7 +130,7 @@ def mix(
             ),
             word_count(text).alias("size"),
             stable_hash(F.col(f"`{id_col}`"), text).alias("hash"),
-            *([F.struct(*columns).alias("row")] if carry else []),
+            *([whole_row(docs)] if carry else []),
         )
     )
     sizes = read.select("source_key", "hash", "size")
@@ -154,6 +153,13 @@ def mix(
     )
 
 
+def take(docs: DataFrame, weights: tuple[int, ...], share: tuple[int, int], most: int) -> DataFrame:
+    """The mix itself: each document as often as it is taken, with its own columns."""
+    mixed = mix(docs, weights, share, most, carry=True).filter("times > 0")
+    repeated = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return repeated.select("row.*")
+
+
 #: Weights by place, words of the mix against all words, and the most a document is repeated.
 WEIGHTS, SHARE, MOST = (5, 2, 1), (3, 2), 2
 

@@ -12,17 +12,16 @@ empty result. Only the two named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import attach, ship, stage, table
+from blotter.llm.common import attach, located, ship, stage, table, whole_row
 from blotter.llm.components import connected_components
 
 ship(__name__)
@@ -61,23 +60,14 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id``, ``fingerprint`` (bigint) of every row."""
+def simhash(text: Column, width: int) -> Column:
+    """The fingerprint of each text, as a bigint."""
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprint(text.as_py() or b"", width) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], ["id", "fingerprint"]
-            )
+    @F.pandas_udf(T.LongType())
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t or b"", width) for t in texts], dtype="int64")
 
-    read = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text")
-    )
-    schema = T.StructType(
-        [T.StructField("id", read.schema["id"].dataType), T.StructField("fingerprint", T.LongType())]
-    )
-    return read.mapInArrow(each, schema)
+    return of(text.cast("binary"))
 
 
 def close_links(distinct: DataFrame, max_bits: int) -> DataFrame:
@@ -107,26 +97,57 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    width: int,
+    max_bits: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """``id``, ``fingerprint``, ``component_id``: the smallest id that links lead to."""
-    rows = stage(fingerprints(docs, id_col, text_col, width))
-    distinct = stage(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")))
+    """``id``, ``fingerprint``, ``component_id`` (the smallest id that links lead to), and ``kept``:
+    true for one row of each component, the first with that id. With ``carry``, also ``row``, a
+    struct of the input's columns.
+    """
+    store = stage(
+        docs.select(
+            F.col(f"`{id_col}`").alias("id"),
+            simhash(F.col(f"`{text_col}`"), width).alias("fingerprint"),
+            *([whole_row(docs)] if carry else []),
+        )
+    )
+    rows = located(store).select("id", "fingerprint", "file", "position")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "file", "position"))
+    distinct = stage(rows.groupBy("fingerprint").agg(first.alias("first")))
     labels = connected_components(close_links(distinct, max_bits))
     roots = stage(
         distinct.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-            "fingerprint", "first_id", F.coalesce("label", "fingerprint").alias("root")
+            "fingerprint", "first", F.coalesce("label", "fingerprint").alias("root")
         )
     )
-    first = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    components = attach(roots, first, "root", [F.col("fingerprint")]).select(
-        "fingerprint", "component_id"
+    firsts = roots.groupBy("root").agg(F.min("first").alias("of_all"))
+    components = attach(roots, firsts, "root", [F.col("fingerprint")]).select("fingerprint", "of_all")
+    joined = attach(rows, components, "fingerprint", [F.col("file"), F.col("position")])
+    kept = (F.col("of_all.file") == F.col("file")) & (F.col("of_all.position") == F.col("position"))
+    found = joined.select(
+        "id", "fingerprint", F.col("of_all.id").alias("component_id"), kept.alias("kept"), "file", "position"
     )
-    return attach(rows, components, "fingerprint", [F.col("id")])
+    if carry:
+        texts = located(store).select("file", "position", "row")
+        found = found.join(texts, ["file", "position"])
+    return found.drop("file", "position")
+
+
+def one_of_each(docs: DataFrame, width: int, max_bits: int) -> DataFrame:
+    """``docs`` with one document of each component, and their own columns."""
+    return near_duplicates(docs, width, max_bits, carry=True).filter("kept").select("row.*")
+
+
+#: Words of a shingle, and bits that linked fingerprints may differ in.
+WIDTH, MAX_BITS = 3, 2
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=2)
+    found = near_duplicates(table(spark, sf_dir, "documents"), WIDTH, MAX_BITS)
     return found.select(
         F.col("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
