@@ -41,6 +41,19 @@ from blotter.sources.scan import conform, scan
 from blotter.sources.scratch import new_folder
 from oracles import ORACLES
 
+# The training-data operators stand apart: the other queries work without their folder.
+try:
+    from blotter.llm.queries import ORACLES as _LLM_ORACLES
+    from blotter.llm.queries import QUERIES as _LLM_QUERIES
+
+    import corpus_pipeline
+except ImportError:
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = _LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLES = _LLM_ORACLES | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -444,9 +457,9 @@ def queries() -> dict[str, Query]:
     for suffix, strategy in _Q3_STRATEGIES.items():
         for end in ("top", "bottom"):
             found[f"q3_{end}_{suffix}"] = _q3(end, strategy)
-    return found
+    return found | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB SQL of every registered query."""
-    return dict(ORACLES)
+    return ORACLES | _LLM_ORACLES

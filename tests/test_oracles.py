@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 from pathlib import Path
 
 import duckdb
@@ -31,11 +32,16 @@ def same(left, right):
     return type(left) is type(right) and left == right
 
 
+def is_own(name):
+    """Whether a query belongs to the analyses, not to the training-data operators."""
+    return name != "pipeline" and not re.match(r"op\d+_", name)
+
+
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(filter(is_own, queries())) == set(filter(is_own, oracle_sql()))
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(filter(is_own, queries())))
 def test_matches_oracle(spark, duck, name):
     result = queries()[name](spark, SF_DIR)
     found = rows_by_column_name(result.columns, result.collect())
