@@ -31,6 +31,8 @@ _STATE_SETTINGS = {
     # All state stores of an executor share this memory; what is beyond it is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Logs grow as they are written: reserved space would be more than the state of a partition.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
