@@ -52,6 +52,7 @@ def attach(
     on: str | Sequence[str],
     spread: Sequence[Column],
     how: str = "inner",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup``, which has one row per key. Keys must not be null.
 
@@ -59,11 +60,12 @@ def attach(
     there are fewer than a thousand, get as many salts as they have thousandths; the list of them is
     the only thing broadcast. Their rows are dealt over the salts by the hash of ``spread``, and
     their lookup row is repeated once per salt, so that no task gets more than about a thousandth of
-    the rows for one key. ``rows`` is read twice: stage what is dear to compute.
+    the rows for one key. ``rows`` is read twice: stage what is dear to compute. Where the rows of
+    each key of the lookup are counted already, ``counts`` has them as ``__rows``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    # A sum over one row a key and task, not a window: only one number leaves it.
+    if counts is None:
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
     total = rows.count()
     share = F.lit(max(1, total // HOT_ONE_IN))
     hot = counts.filter(F.col("__rows") > share).select(
