@@ -41,25 +41,31 @@ def warc_record(id_: Column, url: Column, body: Column) -> Column:
     return F.concat(header, body, F.lit("\r\n\r\n"))
 
 
-def archive(records: DataFrame, files: int) -> DataFrame:
-    """Lay out ``records`` (``id``, ``name``, ``record``) in ``files`` files: adds ``file``, ``number``,
-    ``start``, ``end``. The file comes from a hash of the whole record, the order in it from id and record,
-    so that a file holds about as many different records as any other."""
-    key = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.coalesce("name", F.lit("")), F.md5("record"))
+def record_index(records: DataFrame, *more: Column) -> DataFrame:
+    """What the layout and the trees need of ``records`` (``id``, ``name``, ``record``): ``size``, ``hash``
+    (SHA-256), and ``more`` columns made from them. The bytes themselves are not moved."""
+    size = F.octet_length("record").cast("long").alias("size")
+    return records.select("id", "name", size, F.sha2("record", 256).alias("hash"), *more)
+
+
+def archive(index: DataFrame, files: int) -> DataFrame:
+    """Lay out the records of ``index`` in ``files`` files: adds ``file``, ``number``, ``start``, ``end``.
+
+    The file comes from a hash of the whole record, the order in it from id and record, so that a
+    file holds about as many different records as any other.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "hash")
     hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
-    inside = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "name", "record")
-    size = F.octet_length("record").cast("long")
-    dealt = records.withColumn("file", F.pmod(hashed, F.lit(files)))
+    inside = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "name", "hash")
+    dealt = index.withColumn("file", F.pmod(hashed, F.lit(files)))
     placed = dealt.withColumn("number", (F.row_number().over(inside) - 1).cast("long"))
-    upto = F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return placed.withColumn("end", upto).withColumn("start", F.col("end") - size)
+    upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("end", upto).withColumn("start", F.col("end") - F.col("size"))
 
 
 def leaves(archived: DataFrame) -> DataFrame:
     """``file``, ``node`` (the record's number), ``start``, ``end``, ``hash``, ``id``."""
-    return archived.select(
-        "file", F.col("number").alias("node"), "start", "end", F.sha2("record", 256).alias("hash"), "id"
-    )
+    return archived.select("file", F.col("number").alias("node"), "start", "end", "hash", "id")
 
 
 @dataclass
@@ -160,19 +166,17 @@ def audit_replicas(primary: DataFrame, replica: DataFrame) -> DataFrame:
     return audit(*trees, file_levels)
 
 
-def damaged_copy(archived: DataFrame, rules: Sequence[int]) -> DataFrame:
-    """A replica derived from ``archived``: of the ids whose remainders by the three ``rules`` are 1,
-    records have their last byte lost, have a sign changed, or are missing. Offsets stay those of the
-    archive's index."""
+def damage(rules: Sequence[int]) -> Column:
+    """What a derived replica holds instead of ``record``: of the ids whose remainders by the three
+    ``rules`` are 1, records have their last byte lost, a sign changed, or are missing (null)."""
     short, changed, lost = (F.coalesce(F.col("id") % rule == 1, F.lit(False)) for rule in rules)
     length = F.length("record")
-    record = (
-        F.when(short, F.substring("record", F.lit(1), length - 1))
+    return (
+        F.when(lost, None)
+        .when(short, F.substring("record", F.lit(1), length - 1))
         .when(changed, F.concat(F.lit("w"), F.substring("record", F.lit(2), length)))
         .otherwise(F.col("record"))
     )
-    ends = F.when(short, F.col("end") - 1).otherwise(F.col("end"))
-    return archived.filter(~lost).withColumns({"record": record, "end": ends})
 
 
 #: Records of a file, about; which ids the derived replica has short, changed, and not at all.
@@ -186,8 +190,18 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("url", F.lit("")).alias("name"),
         warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"),
     )
-    archived = archive(records, max(1, -(-pages.count() // FILE_RECORDS)))
-    found = audit_replicas(leaves(archived), leaves(damaged_copy(archived, DAMAGE)))
+    copy = damage(DAMAGE)
+    index = record_index(
+        records,
+        F.sha2(copy, 256).alias("copy_hash"),
+        F.octet_length(copy).cast("long").alias("copy_size"),
+    )
+    archived = stage(archive(index, max(1, -(-pages.count() // FILE_RECORDS))))
+    # Offsets stay those of the archive's index.
+    replica = archived.filter("copy_hash IS NOT NULL").withColumns(
+        {"hash": F.col("copy_hash"), "end": F.col("start") + F.col("copy_size")}
+    )
+    found = audit_replicas(leaves(archived), leaves(replica))
     return found.withColumnRenamed("id", "page_id")
 
 
@@ -201,13 +215,13 @@ WITH r AS (
     coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
   FROM pages),
 f AS (
-  SELECT *, ('0x' || substr(md5(coalesce(page_id::VARCHAR, 'null') || ':' || name || ':' || md5(record)), 1, 8))::BIGINT
+  SELECT *, ('0x' || substr(md5(coalesce(page_id::VARCHAR, 'null') || ':' || sha256(record)), 1, 8))::BIGINT
       % greatest(1, ceil((SELECT count(*) FROM pages) / 1000))::BIGINT AS file
   FROM r),
 p AS (
   SELECT *, row_number() OVER o - 1 AS number,
     (sum(strlen(record)) OVER (o ROWS UNBOUNDED PRECEDING))::BIGINT AS "end"
-  FROM f WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, name, record)),
+  FROM f WINDOW o AS (PARTITION BY file ORDER BY page_id NULLS FIRST, name, sha256(record))),
 c AS (
   SELECT *, CASE WHEN page_id % 97 = 1 THEN left(record, length(record) - 1)
       WHEN page_id % 193 = 1 THEN 'w' || substr(record, 2) ELSE record END AS copy
