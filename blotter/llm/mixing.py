@@ -141,7 +141,8 @@ def mix(
     )
     per_source = stage(budgets.join(thresholds(sizes, budgets), "source_key"))
     joined = attach(read, per_source, "source_key", [F.col("hash")])
-    extra = F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
+    below = (F.col("hash") < F.col("threshold")) & (F.col("epochs") < most)
+    extra = F.when(below, 1).otherwise(0)
     times = F.when(F.col("source_size") > 0, F.col("epochs") + extra).otherwise(1)
     return joined.select(
         "id",
