@@ -177,7 +177,8 @@ class StagedFiles:
         self.all_csv = f"{folder}/csv/*"
         self.all_parquet = f"{folder}/parquet/*"
         typed = incidents(spark, sf_dir)
-        first = F.col("date_rptd") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+        early = F.col("date_rptd") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
+        first = F.coalesce(early, F.lit(False))
         for path, part in zip(self.csv, (first, ~first)):
             incident_text(typed.filter(part)).write.options(
                 header=True,

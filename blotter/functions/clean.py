@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 # Fixed value: the form report dates have in the source files.
 REPORT_TS_PATTERN = "MM/dd/yyyy hh:mm:ss a"
 
+# The same, unpadded or without a time, as a reader takes it under any parser policy of the session.
+_READ_PATTERNS = ("M/d/yyyy h:mm:ss a XXX", "M/d/yyyy XXX")
+
 
 def parse_report_ts(text: Column) -> Column:
-    """Report date text to ``timestamp_ntz``; null when the text is not a valid date.
+    """Report date text, with or without a time, to ``timestamp_ntz``; null when it is not a date.
 
     The text is read as UTC whatever the session zone is, so no daylight-saving gap moves a value.
     """
-    instant = F.try_to_timestamp(
-        F.concat(text, F.lit(" +00:00")), F.lit(f"{REPORT_TS_PATTERN} xxx")
-    )
+    zoned = F.concat(F.trim(text), F.lit(" +00:00"))
+    instant = F.coalesce(*(F.try_to_timestamp(zoned, F.lit(p)) for p in _READ_PATTERNS))
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch)
 
@@ -35,12 +37,14 @@ def parse_double(text: Column) -> Column:
 
 
 def parse_int(text: Column) -> Column:
-    return F.trim(text).try_cast("int")
+    """``' 01 '`` and ``1.0`` to 1; null for a fraction that isn't zero."""
+    number = F.trim(text).try_cast("decimal(20,6)")
+    return F.when(number == F.floor(number), number).try_cast("int")
 
 
 def area_key(text: Column) -> Column:
-    """``' 01 '`` to 1, so zero-padded text matches a numeric precinct."""
-    return F.trim(text).try_cast("int")
+    """Zero-padded text matches a numeric precinct."""
+    return parse_int(text)
 
 
 def strip_leading_zeros(text: Column) -> Column:

@@ -38,6 +38,7 @@ def equi_join(
     salt_by: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     part_of: DataFrame | None = None,
+    replicate_limit: int = REPLICATE_LIMIT_BYTES,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns; each key column appears once in the result.
 
@@ -57,7 +58,7 @@ def equi_join(
         size = measure_bytes(lookup if part_of is None else part_of)
         if size <= broadcast_limit:
             return facts.join(F.broadcast(lookup), keys, how)
-        affordable = min(salts, REPLICATE_LIMIT_BYTES // size)
+        affordable = min(salts, replicate_limit // size)
         return _replicate(facts, lookup, keys, how, affordable, salt_by)
     if strategy in ("merge", "shuffle_hash"):
         return facts.join(lookup.hint(strategy), keys, how)

@@ -20,17 +20,17 @@ def read_incidents(
 ) -> DataFrame:
     """All incidents of one or more files or folders, as one typed table."""
     parts = [paths] if isinstance(paths, str) else paths
-    return union_years(
-        conform(scan(spark, path, fmt, header, multi_line), INCIDENTS) for path in parts
-    )
+    frames = [conform(scan(spark, path, fmt, header, multi_line), INCIDENTS) for path in parts]
+    return union_years(frames, missing_as_null=True)
 
 
-def union_years(frames: Iterable[DataFrame]) -> DataFrame:
-    """Rows of all frames, repeats kept. Columns are matched by name, so their order may differ."""
+def union_years(frames: Iterable[DataFrame], missing_as_null: bool = False) -> DataFrame:
+    """Rows of all frames, repeats kept. Columns are matched by name, so their order may differ. One
+    that only some frames have is an error, or null in the others with ``missing_as_null``."""
     parts = list(frames)
     if not parts:
         raise ValueError("nothing to union")
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=missing_as_null), parts)
 
 
 def read_geocode(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -63,7 +63,7 @@ REPORT_DATES = {
     "02/30/2015 01:00:00 AM": None,
     "13/01/2015 01:00:00 AM": None,
     "01/02/2015 13:00:00 PM": None,
-    "01/02/2015": None,
+    "01/02/2015": dt.datetime(2015, 1, 2),
     "bad": None,
     "": None,
     None: None,
@@ -170,3 +170,26 @@ def test_haversine_on_random_points(spark):
     assert found[3000:] == pytest.approx(expected[3000:], abs=1e-3)
     single = distances(spark, points, haversine_km_float)
     assert single == pytest.approx(expected[:3000], rel=1e-4, abs=1e-2)
+
+
+@pytest.mark.parametrize("policy", ["CORRECTED", "LEGACY", "EXCEPTION"])
+def test_report_dates_of_any_form_under_any_policy(spark, policy):
+    key = "spark.sql.legacy.timeParserPolicy"
+    before = spark.conf.get(key)
+    spark.conf.set(key, policy)
+    try:
+        forms = {
+            "01/02/2015": dt.datetime(2015, 1, 2),
+            "1/2/2015": dt.datetime(2015, 1, 2),
+            "1/2/2015 1:30:00 PM": dt.datetime(2015, 1, 2, 13, 30),
+            "01/02/2015 12:00:00 AM": dt.datetime(2015, 1, 2),
+            "bad": None,
+        }
+        assert apply(spark, forms, "string", parse_report_ts) == list(forms.values())
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_codes_written_as_decimals(spark):
+    codes = {"101.0": 101, " 01.00 ": 1, "1.5": None, "x": None}
+    assert apply(spark, codes, "string", parse_int) == list(codes.values())
