@@ -31,10 +31,10 @@ from blotter.operators.aggregates import (
 from blotter.operators.filters import has_known_position, in_year, is_firearm, on_street
 from blotter.operators.joins import equi_join, keep_last, restrict_to, unmatched, unmatched_counts
 from blotter.operators.ranking import number_rows, sort_by_count, top_n_per_group
-from blotter.operators.rejects import drop_rejects, reject_rows
+from blotter.operators.rejects import drop_rejects, reject_rows, unreadable_rows, unreadable_values
 from blotter.plans import descent, monthly, stations, street
 from blotter.schemas import INCIDENTS
-from blotter.sources.etl import csv_to_parquet
+from blotter.sources.etl import UNREADABLE_COLUMN, csv_to_parquet
 from blotter.sources.incidents import read_incidents, union_years
 from blotter.sources.lines import read_csv_lines
 from blotter.sources.scan import conform, scan
@@ -82,10 +82,30 @@ def src_csv_text_lines(spark, sf_dir):
 
 
 def etl_csv_to_parquet(spark, sf_dir):
+    return _written(spark, sf_dir).drop(UNREADABLE_COLUMN)
+
+
+def _written(spark, sf_dir):
     target = new_folder(spark) + "/incidents.parquet"
     return csv_to_parquet(spark, StagedFiles.of(spark, sf_dir).all_csv, target)
 
 
+def etl_keeps_unreadable(spark, sf_dir):
+    return unreadable_values(_written(spark, sf_dir), "dr_no")
+
+
+def etl_rejects(spark, sf_dir):
+    return unreadable_rows(_written(spark, sf_dir)).drop(UNREADABLE_COLUMN)
+
+
+def src_mixed_headers(spark, sf_dir):
+    return read_incidents(spark, StagedFiles.of(spark, sf_dir).mixed_csv, "csv")
+
+
+def src_text_lines_mixed_headers(spark, sf_dir):
+    return read_csv_lines(spark, StagedFiles.of(spark, sf_dir).mixed_csv)
+
+
 def union_incident_years(spark, sf_dir):
     first, second = (scan(spark, path, "parquet") for path in StagedFiles.of(spark, sf_dir).parquet)
     return union_years([first, second.select(*reversed(second.columns))])
@@ -188,7 +208,8 @@ def map_descent(spark, sf_dir):
 
 def _with_stations(spark, sf_dir, strategy="broadcast"):
     by_area = stations.by_area(fx.stations(spark, sf_dir))
-    return equi_join(fx.incidents(spark, sf_dir), by_area, "area", strategy)
+    incidents = fx.incidents(spark, sf_dir)
+    return equi_join(incidents, by_area, "area", strategy, salt_by=["dr_no"])
 
 
 def _year_facts(spark, sf_dir):
@@ -279,6 +300,11 @@ def rank_top_n_per_group(spark, sf_dir):
     return top_n_per_group(incidents, ["area"], [F.desc("date_rptd"), F.col("dr_no")], 5)
 
 
+def rank_top_n_large(spark, sf_dir):
+    incidents = fx.incidents(spark, sf_dir).select("premis", "dr_no", "date_rptd")
+    return top_n_per_group(incidents, ["premis"], [F.desc("date_rptd"), F.col("dr_no")], 1001)
+
+
 def topk_zip_income(spark, sf_dir):
     return _rounded(descent.top_zips(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
@@ -349,6 +375,13 @@ def _q3_tables(spark, sf_dir):
     return fx.incidents(spark, sf_dir), fx.geocode(spark, sf_dir), fx.income(spark, sf_dir)
 
 
+def q3_top_by_year(spark, sf_dir):
+    table = StagedFiles.of(spark, sf_dir).by_year
+    incidents = read_incidents(spark, table, "parquet", year=fx.YEAR)
+    lookups = fx.geocode(spark, sf_dir), fx.income(spark, sf_dir)
+    return descent.descent_counts(incidents, *lookups, fx.YEAR)
+
+
 def q3_sql(spark, sf_dir):
     return descent.descent_counts_sql(spark, *_q3_tables(spark, sf_dir), fx.YEAR)
 
@@ -392,7 +425,11 @@ _QUERIES = (
     src_parquet_scan,
     src_read_incidents,
     src_csv_text_lines,
+    src_mixed_headers,
+    src_text_lines_mixed_headers,
     etl_csv_to_parquet,
+    etl_keeps_unreadable,
+    etl_rejects,
     union_incident_years,
     clean_report_date,
     clean_money,
@@ -421,6 +458,7 @@ _QUERIES = (
     agg_row_count,
     win_row_number,
     rank_top_n_per_group,
+    rank_top_n_large,
     topk_zip_income,
     bottomk_zip_income,
     bottomk_zip_known_income,
@@ -433,6 +471,7 @@ _QUERIES = (
     q1_parquet_source,
     q2_sql,
     q2_dataframe,
+    q3_top_by_year,
     q3_sql,
     q3_bottom_sql,
     q4_dataframe,
@@ -440,14 +479,13 @@ _QUERIES = (
     q4_repartition,
 )
 
-# Key suffix: join strategy. The replicated nested loop pairs every row with every other; its key runs
-# the replicated equi-join, which gives the same rows.
+# Key suffix: join strategy.
 _Q3_STRATEGIES = {
     "default": "default",
     "broadcast": "broadcast",
     "shuffle_hash": "shuffle_hash",
     "merge": "merge",
-    "replicate_nl": "replicate",
+    "replicate": "replicate",
 }
 
 

@@ -38,7 +38,12 @@ from blotter.operators.ranking import (
     top_k,
     top_n_per_group,
 )
-from blotter.operators.rejects import drop_rejects, reject_rows
+from blotter.operators.rejects import (
+    drop_rejects,
+    reject_rows,
+    unreadable_rows,
+    unreadable_values,
+)
 from blotter.sources.incidents import (
     read_geocode,
     read_incidents,
@@ -88,5 +93,7 @@ __all__ = [
     "union_years",
     "unmatched",
     "unmatched_counts",
+    "unreadable_rows",
+    "unreadable_values",
     "without_labels",
 ]

@@ -32,15 +32,16 @@ SPLIT_DATE = "1998-01-01"
 
 
 def cell_lat(key: str) -> str:
-    return f"33.7e0 + cast(({key} % 500) % 25 AS double) * 0.01e0"
+    return f"33.7e0 + cast({key} % 1000 AS double) * 0.0004e0"
 
 
 def cell_lon(key: str) -> str:
-    return f"-118.6e0 + cast(({key} % 500) // 25 AS double) * 0.01e0"
+    return f"-118.6e0 + cast({key} // 1000 AS double) * 0.00001e0"
 
 
 def cell_zip(key: str) -> str:
-    return f"cast(90001 + ({key} % 500) % 40 AS int)"
+    """A ZIP has twelve cells; a table of more customers has more of both."""
+    return f"cast(90001 + {key} // 12 AS int)"
 
 
 def known(coordinate: str) -> str:
@@ -67,18 +68,22 @@ INCIDENT_COLUMNS = {
     "lon": known(cell_lon("o_custkey")),
 }
 
-# The geocode table ends at this longitude; the cells east of it have no ZIP.
+# Some geocode cells lie a little beside those of the incidents, so these find no ZIP.
 GEOCODE_COLUMNS = {
-    "lat": cell_lat("c_custkey"),
+    "lat": cell_lat("c_custkey") + " + CASE WHEN c_custkey % 20 = 9 THEN 0.0001e0 ELSE 0e0 END",
     "lon": cell_lon("c_custkey"),
     "zip": cell_zip("c_custkey"),
 }
-GEOCODE_EAST_END = "-118.415e0"
-
-# The income table ends at this ZIP; the two after it have no entry. One entry is missing, one empty.
-INCOME_ZIP_END = 90039
-INCOME_MISSING_ZIP = 90006
-INCOME_EMPTY_ZIP = 90007
+# These cells are in the geocode table twice.
+GEOCODE_REPEATED = "c_custkey % 16 = 3"
+
+# Entries of some ZIPs are missing, of some empty, of some under a ZIP that no cell has, of some there
+# twice with different incomes.
+INCOME_TEXT_MISSING = "zip % 40 = 6"
+INCOME_TEXT_EMPTY = "zip % 40 = 7"
+INCOME_ZIP = "cast(CASE WHEN zip % 20 = 9 THEN -zip ELSE zip END AS int)"
+INCOME_REPEATED = "zip % 8 = 5"
+INCOME_SECOND_TENS = "tens + 500"
 INCOME_TENS = (
     "cast(sum(cast(round(c_acctbal * 100) AS bigint) + 100000) // (10 * count(*)) AS bigint)"
 )
@@ -88,7 +93,8 @@ STATION_COLUMNS = {
     " ELSE -118.6e0 + cast(n_nationkey AS double) * 0.01e0 END",
     "y": "33.7e0 + cast(n_nationkey AS double) * 0.012e0",
     "division": "n_name",
-    "prec": "n_nationkey",
+    # Three precincts have two stations.
+    "prec": "cast(CASE WHEN n_nationkey > 21 THEN n_nationkey - 20 ELSE n_nationkey END AS int)",
 }
 
 # Text an area, date or coordinate may have in a source file.
@@ -124,8 +130,14 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = derive(table(spark, sf_dir, "customer"), GEOCODE_COLUMNS)
-    return cells.filter(f"lon < {GEOCODE_EAST_END}").distinct()
+    customer = table(spark, sf_dir, "customer")
+    return derive(_twice(customer, GEOCODE_REPEATED), GEOCODE_COLUMNS)
+
+
+def _twice(df: DataFrame, condition: str) -> DataFrame:
+    """``df`` with the rows that meet the condition repeated, and which of the two a row is."""
+    entries = F.when(F.expr(condition), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return df.withColumn("entry", F.explode(entries))
 
 
 def income_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,13 +145,15 @@ def income_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .groupBy(spark_expr(cell_zip("c_custkey")).alias("zip"))
         .agg(spark_expr(INCOME_TENS).alias("tens"))
-        .filter(F.col("zip") < INCOME_ZIP_END)
     )
-    text = F.concat(F.lit("$"), F.format_number("tens", 0))
-    return tens.select(
-        "zip",
-        F.when(F.col("zip") == INCOME_EMPTY_ZIP, "")
-        .when(F.col("zip") != INCOME_MISSING_ZIP, text)
+    entries = _twice(tens, INCOME_REPEATED)
+    second = F.col("entry") == 2
+    amount = F.when(second, spark_expr(INCOME_SECOND_TENS)).otherwise(F.col("tens"))
+    text = F.concat(F.lit("$"), F.format_number(amount, 0))
+    return entries.select(
+        spark_expr(INCOME_ZIP).alias("zip"),
+        F.when(F.expr(INCOME_TEXT_EMPTY), "")
+        .when(~F.expr(INCOME_TEXT_MISSING), text)
         .alias("income_text"),
     )
 
@@ -165,6 +179,14 @@ def incident_text(typed: DataFrame) -> DataFrame:
     return typed.select(*(text[field.name].alias(field.header) for field in INCIDENTS))
 
 
+def respelled(text: DataFrame) -> DataFrame:
+    """The same in another column order and spelling, without the optional column."""
+    fields = [field for field in reversed(INCIDENTS) if field.required]
+    return text.select(
+        *(F.col(f"`{f.header}`").alias(f" {f.header.strip().upper().replace(' ', '_')}") for f in fields)
+    )
+
+
 class StagedFiles:
     """The two incident files as CSV and Parquet, written once per session and scale."""
 
@@ -174,20 +196,25 @@ class StagedFiles:
         folder = new_folder(spark)
         self.csv = [f"{folder}/csv/first", f"{folder}/csv/second"]
         self.parquet = [f"{folder}/parquet/first", f"{folder}/parquet/second"]
+        self.mixed_csv = [self.csv[0], f"{folder}/mixed/second"]
+        self.by_year = f"{folder}/by_year"
         self.all_csv = f"{folder}/csv/*"
         self.all_parquet = f"{folder}/parquet/*"
         typed = incidents(spark, sf_dir)
         early = F.col("date_rptd") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
         first = F.coalesce(early, F.lit(False))
-        for path, part in zip(self.csv, (first, ~first)):
-            incident_text(typed.filter(part)).write.options(
+        parts = [incident_text(typed.filter(part)) for part in (first, ~first)]
+        other = respelled(parts[1])
+        for path, part in zip([*self.csv, self.mixed_csv[1]], [*parts, other]):
+            part.write.options(
                 header=True,
                 ignoreLeadingWhiteSpace=False,
                 ignoreTrailingWhiteSpace=False,
                 **CSV_DIALECT,
             ).csv(path)
         for source, target in zip(self.csv, self.parquet):
-            csv_to_parquet(spark, source, target)
+            csv_to_parquet(spark, source, target, unreadable=None)
+        csv_to_parquet(spark, self.all_csv, self.by_year, by_year="date_rptd")
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> StagedFiles:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+_SALT = "__part"
+
 
 def number_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], rank: str = "rank"
@@ -19,13 +22,31 @@ def number_rows(
 
 
 def top_n_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    rank: str = "rank",
+    salts: int = 256,
 ) -> DataFrame:
     """First ``n`` rows of each group. Spark cuts each task's rows to ``n`` per group before the
-    shuffle, so a large group does not reach one task whole."""
+    shuffle, so a large group does not reach one task whole.
+
+    It does so up to its threshold for ``n`` only (1000 unless set). Above it, each group is dealt over
+    ``salts`` by the hash of its rows and every part is cut to ``n`` first, with the same rows left.
+    """
+    if n > int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000")):
+        salt = F.pmod(F.xxhash64(*_hashable(df)), F.lit(salts)).cast("int")
+        parts = number_rows(df.withColumn(_SALT, salt), [*by, _SALT], order, rank)
+        df = parts.filter(F.col(rank) <= n).drop(rank, _SALT)
     return number_rows(df, by, order, rank).filter(F.col(rank) <= n)
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """Columns without maps, which have no hash."""
+    return [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+
 def top_k(df: DataFrame, metric: str, k: int, tie_break: Sequence[str]) -> DataFrame:
     """``k`` rows of highest metric, null last."""
     return df.orderBy(F.desc_nulls_last(metric), *tie_break).limit(k)

@@ -1,4 +1,4 @@
-"""Rows whose numeric text does not parse."""
+"""Rows whose text does not parse."""
 
 from __future__ import annotations
 
@@ -23,5 +23,15 @@ def drop_rejects(df: DataFrame, numeric_text: Sequence[str]) -> DataFrame:
     )
 
 
+def unreadable_rows(df: DataFrame, column: str = "unreadable") -> DataFrame:
+    """Rows of a table made by ``csv_to_parquet`` in which at least one value did not parse."""
+    return df.filter(F.col(column).isNotNull())
+
+
+def unreadable_values(df: DataFrame, key: str, column: str = "unreadable") -> DataFrame:
+    """``key``, ``field``, ``text``: one row per value that did not parse."""
+    return df.select(key, F.explode(column).alias("field", "text"))
+
+
 def _any_unreadable(names: Sequence[str]) -> Column:
     return reduce(Column.__or__, [parse_double(F.col(name)).isNull() for name in names])

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from blotter.functions.labels import NO_DESCENT, descent_label
 from blotter.operators.aggregates import average_income_by_zip
 from blotter.operators.filters import in_year, without_labels
-from blotter.operators.joins import equi_join, restrict_to
+from blotter.operators.joins import equi_join
 from blotter.operators.ranking import bottom_k, sort_by_count, top_k
+from blotter.operators.sizing import BROADCAST_LIMIT_BYTES
 
 # A counted place or ZIP has at most one row per descent label, so few salts are enough.
 _SALTS = {"salts": 4, "salt_by": ["descent"]}
@@ -37,18 +38,27 @@ def geocoded_facts(
 
 
 def geocoded_facts_at_end(
-    facts: DataFrame, geocode: DataFrame, income: DataFrame, end: str, k: int = 3
+    facts: DataFrame,
+    geocode: DataFrame,
+    income: DataFrame,
+    end: str,
+    k: int = 3,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """The geocoded facts of the ``k`` ZIPs at one end of the income scale.
 
-    The lookups are cut down to those ZIPs first, so a fact elsewhere is dropped by the first join. The
-    facts are scanned twice, the first time only to be counted.
+    The ``k`` ZIPs come to the driver, so that the scans of the lookups are filtered by them; only what
+    is left is measured and sent, and a fact elsewhere is dropped where it is read. The facts are
+    scanned twice, the first time only to be counted.
     """
-    chosen = zips_at_end(zip_profile(facts, geocode, income), end, k).select("zip")
-    cells = restrict_to(geocode, chosen, "zip")
-    placed = equi_join(facts, cells, ["lat", "lon"], "broadcast", part_of=geocode)
-    entries = restrict_to(income, chosen, "zip")
-    return equi_join(placed, entries, "zip", "broadcast", part_of=income)
+    profile = zip_profile(facts, geocode, income)
+    chosen = [row["zip"] for row in zips_at_end(profile, end, k).select("zip").collect()]
+    cells = geocode.filter(F.col("zip").isin(chosen))
+    placed = equi_join(
+        facts, cells, ["lat", "lon"], "broadcast", broadcast_limit=broadcast_limit
+    )
+    entries = income.filter(F.col("zip").isin(chosen))
+    return equi_join(placed, entries, "zip", "broadcast", broadcast_limit=broadcast_limit)
 
 
 def zip_profile(

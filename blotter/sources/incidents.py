@@ -6,9 +6,11 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from blotter.operators.filters import in_year
 from blotter.schemas import GEOCODE, INCIDENTS, INCOME, STATIONS
-from blotter.sources.scan import conform, scan
+from blotter.sources.scan import YEAR_COLUMN, conform, scan
 
 
 def read_incidents(
@@ -17,11 +19,19 @@ def read_incidents(
     fmt: str = "csv",
     header: Sequence[str] | None = None,
     multi_line: bool = False,
+    year: int | None = None,
 ) -> DataFrame:
-    """All incidents of one or more files or folders, as one typed table."""
+    """All incidents of one or more files or folders, as one typed table. With ``year``, only those
+    reported in it; of a table written ``by_year``, the folders of other years are not opened."""
     parts = [paths] if isinstance(paths, str) else paths
-    frames = [conform(scan(spark, path, fmt, header, multi_line), INCIDENTS) for path in parts]
-    return union_years(frames, missing_as_null=True)
+    frames = []
+    for path in parts:
+        found = scan(spark, path, fmt, header, multi_line)
+        if year is not None and fmt == "parquet" and YEAR_COLUMN in found.columns:
+            found = found.filter(F.col(YEAR_COLUMN) == year)
+        frames.append(conform(found, INCIDENTS))
+    united = union_years(frames, missing_as_null=True)
+    return united if year is None else united.filter(in_year(F.col("date_rptd"), year))
 
 
 def union_years(frames: Iterable[DataFrame], missing_as_null: bool = False) -> DataFrame:

@@ -9,27 +9,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.schemas import INCIDENTS, Field
+from blotter.sources.incidents import union_years
 from blotter.sources.scan import CSV_DIALECT, conform, text_schema
 
+# No line holds this, so a reader that splits at it gives whole lines.
+_NO_SEPARATOR = "\x1e\x1f"
+
 
 def read_csv_lines(
     spark: SparkSession,
-    path: str,
+    paths: str | Sequence[str],
     fields: Sequence[Field] = INCIDENTS,
     header: str | None = None,
 ) -> DataFrame:
     """Typed records of text files whose every line is a CSV record.
 
-    Blank lines and every line equal to the header are dropped. ``header`` is the first line of the
-    files; left out, it is read (one line).
+    Each path has a header of its own, and paths are put together by column name. Blank lines and
+    every line equal to the path's header are dropped. ``header`` is the first line of all files; left
+    out, it is read (one line per path). In a folder, a file with another first line fails the job.
     """
-    lines = spark.read.text(path)
+    parts = [paths] if isinstance(paths, str) else paths
+    return union_years(
+        [_records(spark, path, fields, header) for path in parts], missing_as_null=True
+    )
+
+
+def _records(
+    spark: SparkSession, path: str, fields: Sequence[Field], header: str | None
+) -> DataFrame:
     if header is None:
-        first = lines.first()
+        first = spark.read.text(path).filter(F.trim("value") != "").first()
         if first is None:
             raise ValueError(f"no header line in {path}")
         header = first["value"]
     names = next(csv.reader([header]))
+    # One column, named as the header line is: the reader then checks the first line of each file.
+    lines = (
+        spark.read.options(header=True, enforceSchema=False, sep=_NO_SEPARATOR, quote="")
+        .schema(text_schema([header]))
+        .csv(path)
+        .toDF("value")
+    )
     body = lines.filter((F.trim("value") != "") & (F.col("value") != header))
     schema = ", ".join(
         "`{}` STRING".format(field.name.replace("`", "``")) for field in text_schema(names)

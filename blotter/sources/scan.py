@@ -15,6 +15,9 @@ from blotter.schemas import Field, plain_name
 
 FORMATS = ("csv", "parquet")
 
+# The folder level of tables that ``csv_to_parquet`` writes by year.
+YEAR_COLUMN = "report_year"
+
 # A quote inside a quoted field is written twice in the source files, so the quote escapes itself.
 CSV_DIALECT = {"quote": '"', "escape": '"'}
 
@@ -29,7 +32,9 @@ def scan(
     """Source columns as they are: text for CSV, stored types for Parquet.
 
     No types are inferred, so a CSV is never read twice. Without ``header`` the first line of the
-    file is read for the names; with it even that is skipped, and every file is checked against it.
+    file is read for the names; with it even that is skipped. Either way every file of a folder is
+    checked, and one with other columns, or the same in another order, fails the job: read such files
+    as paths of their own. Names that Spark makes up, for blank or repeated headers, can't be checked.
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
     if fmt not in FORMATS:
@@ -37,9 +42,18 @@ def scan(
     if fmt == "parquet":
         return spark.read.parquet(path)
     reader = spark.read.options(header=True, multiLine=multi_line, **CSV_DIALECT)
-    if header is not None:
-        reader = reader.schema(text_schema(header)).option("enforceSchema", False)
-    return reader.csv(path)
+    if header is None:
+        found = reader.csv(path)
+        if not all(map(_is_own_name, found.columns, range(len(found.columns)))):
+            return found
+        header = found.columns
+    return reader.schema(text_schema(header)).option("enforceSchema", False).csv(path)
+
+
+def _is_own_name(name: str, place: int) -> bool:
+    """Not one that Spark may have made from the column's place: ``_c3``, or ``LAT3`` for a repeated
+    header."""
+    return not name.endswith(str(place))
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -51,15 +65,17 @@ def conform(
     fields: Sequence[Field],
     keep_rest: bool = False,
     source_names: bool = False,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """The columns of ``fields``, found by header whatever their order, case or blanks, and typed.
 
     ``keep_rest`` keeps the other columns as they are, behind them. ``source_names`` keeps the
-    headers of the source instead of the build names.
+    headers of the source instead of the build names. ``unreadable`` names one more column, a map from
+    column name to source text of the values that are not blank and did not parse; null if all did.
     """
     by_plain_name = _by_plain_name(df.columns)
     types = dict(df.dtypes)
-    used, out = set(), []
+    used, out, parsed = set(), [], []
     for field in fields:
         source = by_plain_name.get(plain_name(field.header)) or by_plain_name.get(field.name)
         if source is None:
@@ -68,7 +84,10 @@ def conform(
             continue
         used.add(source)
         name = source if source_names else field.name
-        out.append(field.parse(_column(source), types[source]).alias(name))
+        value = field.parse(_column(source), types[source])
+        out.append(value.alias(name))
+        if types[source] != field.type:
+            parsed.append((name, _column(source).cast("string"), value))
     if keep_rest:
         taken = {field.name for field in fields}
         for source in df.columns:
@@ -78,9 +97,22 @@ def conform(
             if name in taken:
                 raise ValueError(f"column {source!r} would repeat the name {name!r}")
             out.append(_column(source).alias(name))
+    if unreadable is not None:
+        out.append(_texts_not_parsed(parsed).alias(unreadable))
     return df.select(*out)
 
 
+def _texts_not_parsed(parsed: Sequence[tuple[str, Column, Column]]) -> Column:
+    texts = [
+        F.struct(F.lit(name), F.when(value.isNull() & (F.trim(text) != ""), text).alias("text"))
+        for name, text, value in parsed
+    ]
+    if not texts:
+        return F.lit(None).cast("map<string,string>")
+    kept = F.filter(F.array(*texts), lambda entry: entry["text"].isNotNull())
+    return F.when(F.size(kept) > 0, F.map_from_entries(kept))
+
+
 def _by_plain_name(columns: Sequence[str]) -> dict[str, str]:
     found: dict[str, str] = {}
     for column in columns:

@@ -9,12 +9,15 @@ from blotter.fixtures import (
     AREA_TEXT,
     COORDINATE_TEXT,
     GEOCODE_COLUMNS,
-    GEOCODE_EAST_END,
+    GEOCODE_REPEATED,
     INCIDENT_COLUMNS,
-    INCOME_EMPTY_ZIP,
-    INCOME_MISSING_ZIP,
+    INCOME_REPEATED,
+    INCOME_SECOND_TENS,
     INCOME_TENS,
-    INCOME_ZIP_END,
+    INCOME_TEXT_EMPTY,
+    INCOME_TEXT_MISSING,
+    INCOME_ZIP,
+    SPLIT_DATE,
     STATION_COLUMNS,
     YEAR,
     cell_zip,
@@ -24,16 +27,22 @@ from blotter.fixtures import (
 _TABLES = {
     "incidents": f"SELECT {select_list(INCIDENT_COLUMNS)} FROM orders",
     "geocode": f"""
-        SELECT DISTINCT * FROM (SELECT {select_list(GEOCODE_COLUMNS)} FROM customer)
-        WHERE lon < {GEOCODE_EAST_END}""",
+        SELECT {select_list(GEOCODE_COLUMNS)} FROM customer
+        UNION ALL
+        SELECT {select_list(GEOCODE_COLUMNS)} FROM customer WHERE {GEOCODE_REPEATED}""",
     "income_text": f"""
-        SELECT zip, CASE zip
-            WHEN {INCOME_MISSING_ZIP} THEN NULL
-            WHEN {INCOME_EMPTY_ZIP} THEN ''
+        SELECT {INCOME_ZIP} AS zip, CASE
+            WHEN {INCOME_TEXT_MISSING} THEN NULL
+            WHEN {INCOME_TEXT_EMPTY} THEN ''
             ELSE '$' || format('{{:,}}', tens) END AS income_text
         FROM (
-            SELECT {cell_zip("c_custkey")} AS zip, {INCOME_TENS} AS tens FROM customer GROUP BY 1
-        ) WHERE zip < {INCOME_ZIP_END}""",
+            WITH one AS (
+                SELECT {cell_zip("c_custkey")} AS zip, {INCOME_TENS} AS tens
+                FROM customer GROUP BY 1
+            )
+            SELECT zip, tens FROM one
+            UNION ALL SELECT zip, {INCOME_SECOND_TENS} FROM one WHERE {INCOME_REPEATED}
+        )""",
     "income": """
         SELECT zip, try_cast(regexp_replace(income_text, '[$,]', '', 'g') AS double) AS income
         FROM income_text""",
@@ -141,6 +150,26 @@ def _stations(where: str) -> str:
     )
 
 
+_LAST_STATIONS = f"""last_stations AS (
+    SELECT prec, arg_max(division, k) AS division, arg_max(y, k) AS y, arg_max(x, k) AS x
+    FROM (SELECT *, {{'division': division, 'y': y, 'x': x}} AS k FROM stations) GROUP BY prec
+)"""
+_LAST_STATION_DISTANCES = _with(
+    "incidents stations",
+    f"""SELECT division, round(avg({_DISTANCE}), 6) AS average_distance, count(*) AS incidents_total
+    FROM incidents JOIN last_stations ON area = prec
+    WHERE {_ARMED} AND lat <> 0 AND lon <> 0 AND x <> 0 AND y <> 0
+    GROUP BY division""",
+    _LAST_STATIONS,
+)
+
+_MIXED_INCIDENTS = _incidents(
+    f"* REPLACE (CASE WHEN date_rptd < TIMESTAMP '{SPLIT_DATE}' THEN dr_no END AS dr_no)"
+)
+_UNREADABLE = """SELECT o_orderkey AS dr_no, field, 'n/a' AS text
+    FROM orders, (VALUES ('lat'), ('lon')) AS f(field)
+    WHERE o_orderkey % 50 <> 0 AND o_orderkey % 211 = 0 AND o_orderkey % 2 = 1"""
+
 _ALL_INCIDENTS = _incidents("*")
 _KNOWN_STATION = "x <> 0 AND y <> 0"
 
@@ -150,7 +179,13 @@ ORACLES = {
     "src_parquet_scan": _ALL_INCIDENTS,
     "src_read_incidents": _ALL_INCIDENTS,
     "src_csv_text_lines": _ALL_INCIDENTS,
+    "src_mixed_headers": _MIXED_INCIDENTS,
+    "src_text_lines_mixed_headers": _MIXED_INCIDENTS,
     "etl_csv_to_parquet": _ALL_INCIDENTS,
+    "etl_keeps_unreadable": _UNREADABLE,
+    "etl_rejects": _incidents(
+        "*", "dr_no % 50 <> 0 AND dr_no % 211 = 0 AND dr_no % 2 = 1"
+    ),
     "union_incident_years": _ALL_INCIDENTS,
     # cleaning
     "clean_report_date": """
@@ -260,6 +295,14 @@ ORACLES = {
             FROM incidents
         ) WHERE rank <= 5""",
     ),
+    "rank_top_n_large": _with(
+        "incidents",
+        """SELECT * FROM (
+            SELECT premis, dr_no, date_rptd, cast(row_number()
+                OVER (PARTITION BY premis ORDER BY date_rptd DESC, dr_no) AS int) AS rank
+            FROM incidents
+        ) WHERE rank <= 1001""",
+    ),
     "topk_zip_income": _with(
         _FACT_TABLES,
         "SELECT zip, round(avg_income, 6) AS avg_income FROM chosen",
@@ -303,14 +346,15 @@ ORACLES = {
     "q1_parquet_source": _TOP_MONTHS,
     "q2_sql": _STREET_PARTS,
     "q2_dataframe": _STREET_PARTS,
+    "q3_top_by_year": _TOP_DESCENTS,
     "q3_sql": _TOP_DESCENTS,
     "q3_bottom_sql": _BOTTOM_DESCENTS,
     **{
         f"q3_{end}_{strategy}": sql
         for end, sql in (("top", _TOP_DESCENTS), ("bottom", _BOTTOM_DESCENTS))
-        for strategy in ("default", "broadcast", "shuffle_hash", "merge", "replicate_nl")
+        for strategy in ("default", "broadcast", "shuffle_hash", "merge", "replicate")
     },
     "q4_dataframe": _stations("true"),
-    "q4_broadcast": _stations(_KNOWN_STATION),
+    "q4_broadcast": _LAST_STATION_DISTANCES,
     "q4_repartition": _stations(_KNOWN_STATION),
 }

@@ -16,6 +16,8 @@ from blotter import (
     read_income,
     read_stations,
     union_years,
+    unreadable_rows,
+    unreadable_values,
 )
 from blotter.schemas import INCIDENTS
 from blotter.sources.scan import conform, scan
@@ -130,7 +132,7 @@ def test_lookup_tables(spark, tmp_path):
 def test_csv_to_parquet(spark, first):
     target = new_folder(spark) + "/out.parquet"
     written = csv_to_parquet(spark, first, target)
-    assert written.columns == [field.name for field in INCIDENTS] + ["location"]
+    assert written.columns == [field.name for field in INCIDENTS] + ["location", "unreadable"]
     assert tuples(read_incidents(spark, target, "parquet")) == FIRST_ROWS
     places = {row.location for row in written.collect()}
     assert places == {'5TH, "OLD" ST', "MAIN ST", None}
@@ -139,10 +141,40 @@ def test_csv_to_parquet(spark, first):
     assert csv_to_parquet(spark, first, target, mode="overwrite").count() == 3
 
 
+def test_text_that_does_not_parse_is_kept(spark, first):
+    written = csv_to_parquet(spark, first, new_folder(spark) + "/out.parquet")
+    kept = {
+        ("date_rptd", "bad"), ("time_occ", "late"), ("area", "x"), ("weapon_cd", "n/a"), ("lat", "north")
+    }
+    values = unreadable_values(written, "dr_no").collect()
+    assert len(values) == len(kept) and {(v.field, v.text) for v in values} == kept
+    assert [row.dr_no for row in unreadable_rows(written).collect()] == [3]
+    bare = csv_to_parquet(spark, first, new_folder(spark) + "/out.parquet", unreadable=None)
+    assert "unreadable" not in bare.columns
+
+
+@pytest.mark.parametrize("read", (read_incidents, read_csv_lines))
+def test_differing_headers(spark, first, tmp_path, read):
+    second = write(tmp_path / "second.csv", SECOND)
+    expected = sorted([*FIRST_ROWS, (None, *SECOND_ROW)], key=repr)
+    assert tuples(read(spark, [first, second])) == expected
+    folder = tmp_path / "both"
+    folder.mkdir()
+    write(folder / "a.csv", FIRST)
+    write(folder / "b.csv", [HEADER.replace("LAT,LON", "LON,LAT"), *FIRST[1:]])
+    with pytest.raises(Exception, match="header does not conform"):
+        read(spark, str(folder)).collect()
+
+
+def test_headers_without_a_name(spark, tmp_path):
+    path = write(tmp_path / "geo.csv", ["LAT,,LON,ZIPcode,LAT", "34.05,x,-118.25,90001,1"])
+    assert scan(spark, path).collect()[0][:4] == ("34.05", "x", "-118.25", "90001")
+
+
 def test_csv_to_parquet_with_source_names(spark, first):
     target = new_folder(spark) + "/out.parquet"
     written = csv_to_parquet(spark, first, target, source_names=True)
-    assert sorted(written.columns) == sorted(HEADER.split(","))
+    assert sorted(written.columns) == sorted([*HEADER.split(","), "unreadable"])
     assert dict(written.dtypes)["AREA "] == "int"
     assert tuples(read_incidents(spark, target, "parquet")) == FIRST_ROWS
 
@@ -154,6 +186,12 @@ def test_csv_to_parquet_by_year(spark, first):
     plan = written.filter("report_year = 2015")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(report_year" in plan
     assert written.filter("report_year = 2015").count() == 2
+    one_year = read_incidents(spark, [target, target], "parquet", year=2015)
+    assert tuples(one_year) == sorted(FIRST_ROWS[:2] * 2, key=repr)
+    plan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(report_year") == 2
+    plain = csv_to_parquet(spark, first, new_folder(spark) + "/out.parquet")
+    assert plain.count() == 3 and read_incidents(spark, first, year=2015).count() == 2
 
 
 def test_parquet_with_inferred_types(spark, first):
