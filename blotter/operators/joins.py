@@ -38,7 +38,7 @@ def equi_join(
     salt_by: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     part_of: DataFrame | None = None,
-    replicate_limit: int = REPLICATE_LIMIT_BYTES,
+    replicate_limit: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns; each key column appears once in the result.
 
@@ -58,7 +58,8 @@ def equi_join(
         size = measure_bytes(lookup if part_of is None else part_of)
         if size <= broadcast_limit:
             return facts.join(F.broadcast(lookup), keys, how)
-        affordable = min(salts, replicate_limit // size)
+        limit = REPLICATE_LIMIT_BYTES if replicate_limit is None else replicate_limit
+        affordable = min(salts, limit // size)
         return _replicate(facts, lookup, keys, how, affordable, salt_by)
     if strategy in ("merge", "shuffle_hash"):
         return facts.join(lookup.hint(strategy), keys, how)
@@ -79,8 +80,8 @@ def _replicate(
     row in each. The lookup, the small side, grows by ``salts``; the facts do not grow.
 
     The salt is the hash of ``salt_by``, columns that differ between the facts of one key. Without
-    such columns it is the number of the input partition, so that even equal rows are spread. Both
-    stay the same when a lost task is run again. With one salt this is a plain sort-merge join.
+    such columns it is the number of the input partition, so that even equal rows are spread; filters put on
+    the result then don't reach the scan of the facts. Both stay the same when a lost task is run again. With one salt this is a plain sort-merge join.
     """
     if salts <= 1:
         return facts.join(lookup.hint("merge"), keys, how)

@@ -179,6 +179,23 @@ def test_top_n_per_group_breaks_ties(spark):
     assert number_rows(df, ["year"], order).count() == len(months)
 
 
+def test_top_n_of_any_size(spark):
+    df = spark.range(6000).selectExpr("id % 2 AS g", "id % 7 AS n", "id").repartition(4)
+    order = [F.desc("n"), F.col("id")]
+    every = number_rows(df, ["g"], order)
+    top = top_n_per_group(df, ["g"], order, 1001)
+    assert rows(top) == rows(every.filter("rank <= 1001"))
+    assert top.columns == every.columns and plan_of(top).count("row_number") > plan_of(every).count("row_number")
+
+
+def test_year_filter_passes_a_salted_join(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").withColumnRenamed("o_custkey", "k")
+    lookup = spark.range(9).select(F.col("id").alias("k"))
+    joined = equi_join(orders, lookup, "k", "replicate", salt_by=["o_orderkey"])
+    plan = plan_of(joined.filter("o_totalprice > 1000"))
+    assert "GreaterThan(o_totalprice,1000.0)" in plan
+
+
 def test_top_k_and_bottom_k(spark):
     means = [(1, 50.0), (2, 70.0), (3, None), (4, 70.0), (5, 10.0), (6, None)]
     df = spark.createDataFrame(means, "zip int, m double").repartition(4)

@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from blotter import STRATEGIES, fixtures
+from blotter import STRATEGIES, fixtures, read_incidents
+from blotter.operators.sizing import measure_bytes
 from blotter.plans import descent, monthly, stations, street
 
 from .test_functions import plain_haversine
@@ -171,6 +172,26 @@ def test_geocoded_facts_at_end(spark, incidents, geocode, income):
         assert Counter(tuples(found)) == expected
 
 
+def test_facts_at_end_measure_what_is_sent(spark, incidents, geocode, income):
+    """The limit is below the geocode table and above the cells of the chosen ZIPs."""
+    facts = descent.labelled_facts(incidents, 2015)
+    limit = measure_bytes(geocode) - 1
+    found = descent.geocoded_facts_at_end(facts, geocode, income, "top", broadcast_limit=limit)
+    plan = plan_of(found)
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
+    assert Counter(tuples(found)) == Counter(
+        tuples(descent.geocoded_facts_at_end(facts, geocode, income, "top"))
+    )
+
+
+def test_year_folders_reach_the_scan(spark):
+    folder = fixtures.StagedFiles.of(spark, SF_DIR).by_year
+    incidents = read_incidents(spark, folder, "parquet", year=fixtures.YEAR)
+    lookups = fixtures.geocode(spark, SF_DIR), fixtures.income(spark, SF_DIR)
+    plan = plan_of(descent.descent_counts(incidents, *lookups, fixtures.YEAR))
+    assert "PartitionFilters: [isnotnull(report_year" in plan
+
+
 def test_descents_scan_incidents_once_and_join_as_asked(spark):
     tables = [table(spark, SF_DIR) for table in (fixtures.incidents, fixtures.geocode, fixtures.income)]
     nodes = {
