@@ -7,9 +7,10 @@ threshold, so mixes of growing budgets are nested.
 
 Defined results: a null text has size 0; null is a source of its own, the last one. A source of size
 0 has the target 0. A budget above a source's size takes every document once, or twice, and the rest
-by the threshold. What is taken falls short of the target by less than one document (rows with equal
-hash, that is repeated rows, count as one). An empty table gives an empty result. Other columns of the
-input are carried in one struct and can't clash.
+by the threshold. The document in which the budget ends is in if that brings the sum nearer to it, so
+what is taken differs from the target by half a document at most (rows with equal hash, that is
+repeated rows, count as one). An empty table gives an empty result. Other columns of the input are
+carried in one struct and can't clash.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ def source_targets(
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """``source_key``, ``threshold``: the documents of ``rows`` (``source_key``, ``hash``, ``size``)
-    whose hash is below it are the longest run from hash 0 whose sizes sum to at most ``budget``."""
+    whose hash is below it are the run from hash 0 whose sizes sum to ``budget`` or come nearest to it."""
     open_ = stage(budgets.select("source_key", F.lit(0).cast("long").alias("prefix"), "budget"))
     done = None
     for level in range(1, HASH_BITS // LEVEL_BITS + 1):
@@ -89,8 +90,10 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
                 "source_key",
                 F.col("at.bucket").alias("prefix"),
                 (F.col("at.budget") - (F.col("at.upto") - F.col("at.size"))).alias("budget"),
-                F.col("at.low").alias("low"),
-                # No bucket crosses: all are in. One hash in the bucket: it is out.
+                # One hash in the bucket: it is in if no more than half of it is over the budget.
+                (F.col("at.low") + (2 * (F.col("at.upto") - F.col("at.budget")) <= F.col("at.size")).cast("long"))
+                .alias("low"),
+                # No bucket crosses: all are in.
                 (F.col("at").isNull() | (F.col("at.low") == F.col("at.high"))).alias("over"),
             )
         )
@@ -194,8 +197,8 @@ t AS (
   FROM r),
 u AS (
   SELECT d.*, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS k,
-    sum(size) OVER (PARTITION BY d.source ORDER BY h) AS upto
+    sum(size) OVER (PARTITION BY d.source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY d.source, h) AS own
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-  (size * (k + CASE WHEN upto <= target - k * source_size THEN 1 ELSE 0 END))::BIGINT AS taken FROM u
+  (size * (k + CASE WHEN 2 * (upto - (target - k * source_size)) <= own THEN 1 ELSE 0 END))::BIGINT AS taken FROM u
 """

@@ -138,6 +138,18 @@ def test_mixing(docs):
     assert taken.columns == docs.columns
 
 
+def test_mixing_comes_nearest_to_the_target(spark):
+    rng = random.Random(9)
+    many = [(i, "w " * rng.choice([1, 3, 8, 400]), rng.choice("abcd")) for i in range(300)] + [(300, "w " * 900, "e")]
+    rows = mixing.mix(spark.createDataFrame(many, "doc_id long, text string, source string"), (5, 2, 1), (3, 2), 2).collect()
+    source = {i: s for i, _, s in many}
+    for name in "abcde":
+        own = [r for r in rows if source[r.id] == name]
+        taken = sum(r.size * r.times for r in own)
+        assert abs(taken - own[0].target) <= max(r.size for r in own) / 2
+        assert all(r.times <= 2 for r in own)
+
+
 def test_mixing_keeps_repeated_rows_together(spark):
     same = spark.createDataFrame([(1, "a b", "s")] * 50 + [(i, "c d", "t") for i in range(50)], "doc_id long, text string, source string")
     rows = mixing.mix(same, (1, 1), (1, 2), 2).collect()
