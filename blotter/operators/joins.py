@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blotter.operators.ranking import top_n_per_group
@@ -16,16 +18,19 @@ from blotter.operators.sizing import (
 
 #: ``default``       no hint: Catalyst and adaptive execution choose.
 #: ``broadcast``     the lookup goes to every executor if its measured size allows it; else
-#:                   ``replicate`` with as many salts as that size allows.
+#:                   ``replicate``.
 #: ``merge``         sort-merge join.
 #: ``shuffle_hash``  shuffled hash join, hash table on the lookup.
-#: ``replicate``     shuffled join in which a key is split over several tasks: facts get a salt,
-#:                   the lookup is repeated once per salt.
+#: ``replicate``     shuffled join in which a hot key is split over several tasks: its facts get a
+#:                   salt, its lookup rows are repeated once per salt. Other keys are left alone.
 STRATEGIES = ("default", "broadcast", "merge", "shuffle_hash", "replicate")
 
 DEFAULT_SALTS = 64
 
-_SALT = "__salt"
+#: A key is hot if it holds more than one in so many facts; there are fewer hot keys than this.
+HOT_ONE_IN = 1000
+
+_SALT, _SALTS, _ROWS = "__salt", "__salts", "__rows"
 
 
 def equi_join(
@@ -44,7 +49,8 @@ def equi_join(
 
     A key may hold any share of the facts. ``broadcast`` and ``replicate`` do not shuffle facts by
     key alone; the other strategies leave such a key to adaptive skew handling. ``how`` may be
-    ``inner``, ``left_semi`` or ``left_anti``. For ``salts`` and ``salt_by`` see ``_replicate``.
+    ``inner``, ``left_semi`` or ``left_anti``. For ``salts``, ``salt_by`` and ``replicate_limit`` see
+    ``_replicate``, which counts the facts by key when it is called.
     ``broadcast`` measures the lookup when it is called, which runs a job over the lookup. Where the
     lookup takes long to compute and holds only rows of a stored table, pass that table as
     ``part_of``: it is measured instead, as the lookup cannot be larger.
@@ -58,13 +64,11 @@ def equi_join(
         size = measure_bytes(lookup if part_of is None else part_of)
         if size <= broadcast_limit:
             return facts.join(F.broadcast(lookup), keys, how)
-        limit = REPLICATE_LIMIT_BYTES if replicate_limit is None else replicate_limit
-        affordable = min(salts, limit // size)
-        return _replicate(facts, lookup, keys, how, affordable, salt_by)
+        return _replicate(facts, lookup, keys, how, salts, salt_by, replicate_limit)
     if strategy in ("merge", "shuffle_hash"):
         return facts.join(lookup.hint(strategy), keys, how)
     if strategy == "replicate":
-        return _replicate(facts, lookup, keys, how, salts, salt_by)
+        return _replicate(facts, lookup, keys, how, salts, salt_by, replicate_limit)
     raise ValueError(f"unknown strategy {strategy!r}: expected one of {', '.join(STRATEGIES)}")
 
 
@@ -75,23 +79,68 @@ def _replicate(
     how: str,
     salts: int,
     salt_by: Sequence[str],
+    limit: int | None,
 ) -> DataFrame:
-    """Every key is spread over up to ``salts`` reduce tasks, and meets its own copy of the lookup
-    row in each. The lookup, the small side, grows by ``salts``; the facts do not grow.
+    """Every hot key is spread over up to ``salts`` reduce tasks, as many as it has thousandths of the
+    facts, and meets its own copies of the lookup rows in each. Only lookup rows of hot keys are
+    repeated; they are measured, and the salts are cut so that the copies take ``limit`` bytes at
+    most (``REPLICATE_LIMIT_BYTES`` if none is given). Facts with a null key match nothing and are
+    spread as well. Without hot keys, or with one salt, this is a plain sort-merge join.
 
     The salt is the hash of ``salt_by``, columns that differ between the facts of one key. Without
-    such columns it is the number of the input partition, so that even equal rows are spread; filters put on
-    the result then don't reach the scan of the facts. Both stay the same when a lost task is run again. With one salt this is a plain sort-merge join.
+    such columns it is the number of the input partition, so that even equal rows are spread; filters
+    put on the result then don't reach the scan of the facts. Both stay the same when a lost task is
+    run again.
     """
-    if salts <= 1:
+    hot = _hot_keys(facts, keys, salts)
+    if hot is not None:
+        size = measure_bytes(lookup.join(F.broadcast(hot), keys, "left_semi"))
+        salts = min(salts, (REPLICATE_LIMIT_BYTES if limit is None else limit) // max(size, 1))
+    if hot is None or salts <= 1:
         return facts.join(lookup.hint("merge"), keys, how)
     spread = F.xxhash64(*salt_by) if salt_by else F.spark_partition_id()
-    salted_facts = facts.withColumn(_SALT, F.pmod(spread, F.lit(salts)).cast("int"))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_lookup = lookup.withColumn(_SALT, every_salt)
+    own_salts = F.least(F.coalesce(F.col(_SALTS), F.lit(1)), F.lit(salts))
+    no_match = reduce(Column.__or__, (F.col(key).isNull() for key in keys))
+    salted_facts = (
+        facts.join(F.broadcast(hot), keys, "left")
+        .withColumn(_SALT, F.pmod(spread, F.when(no_match, salts).otherwise(own_salts)).cast("int"))
+        .drop(_SALTS)
+    )
+    salted_lookup = (
+        lookup.join(F.broadcast(hot), keys, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), own_salts - 1)))
+        .drop(_SALTS)
+    )
     return salted_facts.join(salted_lookup.hint("merge"), [*keys, _SALT], how).drop(_SALT)
 
 
+def _hot_keys(facts: DataFrame, keys: list[str], salts: int) -> DataFrame | None:
+    """The hot keys with ``__salts``, or None if there are none: fewer than ``HOT_ONE_IN`` rows, found
+    in one job that shuffles a row per key and task. Keys that hold more than their share are among as
+    many that hold most, so the total may be counted along with them."""
+    total = Observation()
+    most = (
+        facts.groupBy(*keys)
+        .agg(F.count("*").alias(_ROWS))
+        .observe(total, F.sum(_ROWS).alias("all"))
+        .orderBy(F.desc(_ROWS))
+        .limit(HOT_ONE_IN)
+    )
+    found = most.collect()
+    if not found:
+        return None
+    share = max(1, total.get["all"] // HOT_ONE_IN)
+    hot = [
+        (*row[: len(keys)], min(salts, -(-row[_ROWS] // share)))
+        for row in found
+        if row[_ROWS] > share and None not in row[: len(keys)]
+    ]
+    if not hot:
+        return None
+    schema = most.select(*keys, F.col(_ROWS).cast("int").alias(_SALTS)).schema
+    return facts.sparkSession.createDataFrame(hot, schema)
+
+
 def keep_last(lookup: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key, the last one in the order given."""
     rank = "__rank"

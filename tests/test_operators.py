@@ -25,6 +25,7 @@ from blotter import (
     unmatched,
     unmatched_counts,
 )
+from blotter.operators import joins
 from blotter.operators.sizing import measure_bytes
 
 
@@ -102,7 +103,12 @@ def test_strategy_is_planned(facts, lookup, strategy, node):
 
 def test_lookup_too_large_to_broadcast(facts, lookup):
     result = equi_join(facts, lookup, "k", "broadcast", broadcast_limit=100)
-    assert "__salt" in plan_of(result) and "BroadcastHashJoin" not in plan_of(result)
+    plan = plan_of(result)
+    first = min((name for name in ("SortMergeJoin", "BroadcastHashJoin") if name in plan), key=plan.index)
+    assert first == "SortMergeJoin" and "__salt" in plan
+    # What is broadcast, once for each side, is the list of hot keys.
+    sent = [part.split("Scan ")[1] for part in plan.split("BroadcastExchange")[1:]]
+    assert len(sent) == 2 and all("__salts" in scan.splitlines()[0] for scan in sent)
     assert rows(result) == joined(facts, lookup)
 
 
@@ -123,6 +129,29 @@ def test_hot_key_is_split_over_tasks(spark, facts, lookup, salt_by):
     assert max(row["count"] for row in hot) < sum(row["count"] for row in hot) * 2 / 3
 
 
+def test_only_hot_keys_are_repeated(spark):
+    n = 3000
+    facts = spark.range(3 * n).select(
+        F.when(F.col("id") < n, 7).when(F.col("id") < n + 9, None).otherwise(F.col("id")).alias("k"), "id"
+    )
+    lookup = spark.range(2 * n).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    result = equi_join(facts, lookup, "k", "replicate", salts=8, salt_by=["id"])
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):
+        tasks = result.filter("k = 7").groupBy(F.spark_partition_id()).count().count()
+    assert tasks >= 3 and rows(result) == rows(facts.join(lookup, "k"))
+    hot = joins._hot_keys(facts, ["k"], 8).collect()
+    assert [tuple(r) for r in hot] == [(7, 8)]
+    anti = equi_join(facts, lookup, "k", "replicate", how="left_anti", salt_by=["id"])
+    assert anti.count() == facts.filter(f"k IS NULL OR k >= {2 * n}").count()
+
+
+def test_no_hot_key_no_salt(spark):
+    facts = spark.range(5000).select(F.col("id").alias("k"))
+    result = equi_join(facts, facts, "k", "replicate")
+    assert "__salt" not in plan_of(result) and result.count() == 5000
+    assert equi_join(facts.limit(0), facts, "k", "replicate").count() == 0
+
+
 def test_join_arguments(facts, lookup):
     with pytest.raises(ValueError, match="strategy"):
         equi_join(facts, lookup, "k", "nested_loop")
