@@ -14,6 +14,7 @@ table gives an empty result. Only the two named columns are read.
 from __future__ import annotations
 
 import base64
+import os
 import re
 import sys
 import zlib
@@ -27,6 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from blotter.llm.common import ship, stage, table
 
@@ -40,9 +42,14 @@ RANK_SHARE = 100_000
 Pattern = tuple[int, ...]
 
 
+#: Runs of white space over which tiktoken's look-ahead isn't tried: its stack ends at a million.
+LONGEST_RUN = 100_000
+
+
 class ByteTokenizer:
-    """Ids of a byte-level vocabulary given as a file of ranks: the same ids as by its JSON form with
-    special tokens taken as ordinary text."""
+    """Ids of a byte-level vocabulary given as a file of ranks: the same ids as by its JSON form, which
+    lies beside it, with special tokens taken as ordinary text. Texts with very long runs of white
+    space are encoded by the JSON form itself."""
 
     def __init__(self, ranks_path: str):
         with open(ranks_path, "rb") as lines:
@@ -54,11 +61,23 @@ class ByteTokenizer:
             tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=ranks, special_tokens={})
             for p in (whole, plain)
         )
-        self._run = re.compile(r"\s\s")
+        self._run = re.compile(r"\s\s+")
+        self._json_path, self._json = os.path.splitext(ranks_path)[0] + ".json", None
 
     def encode(self, text: str) -> list[int]:
-        encoding = self._whole if self._run.search(text) else self._plain
-        return encoding.encode_ordinary(text)
+        if not self._run.search(text):
+            return self._plain.encode_ordinary(text)
+        if len(text) > LONGEST_RUN and any(
+            m.end() - m.start() > LONGEST_RUN for m in self._run.finditer(text)
+        ):
+            return self._by_json(text)
+        return self._whole.encode_ordinary(text)
+
+    def _by_json(self, text: str) -> list[int]:
+        if self._json is None:
+            self._json = Tokenizer.from_file(self._json_path)
+            self._json.encode_special_tokens = True
+        return self._json.encode(text, add_special_tokens=False).ids
 
 
 def cut(docs: DataFrame, capacity: int, ranks_path: str, id_col: str, text_col: str) -> DataFrame:

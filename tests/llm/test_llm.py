@@ -192,6 +192,23 @@ def test_tokenizer_files_agree():
         assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_over_a_million_blanks_are_encoded(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    theirs.encode_special_tokens = True
+    ours = packing.ByteTokenizer(packing.default_ranks_path())
+    many = " " * 1_000_001
+    edge = packing.LONGEST_RUN
+    texts = [many, f"a{many}word", "\n" * 1_000_001 + "x", " " * edge + "b", " " * (edge + 1) + "b", "it  is <|endoftext|>\t" * 5_000]
+    expected = [theirs.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ours.encode(text) for text in texts] == expected
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = packing.pack(docs, 1024, packing.default_ranks_path())
+    assert {r.id: r.doc_tokens for r in packed.collect()} == {i: len(e) + 1 for i, e in enumerate(expected)}
+
+
 def test_patterns_hold_every_piece():
     histogram = {1: 7, 3: 50, 30: 4, 33: 9, 64: 2}
     packs = packing.pack_lengths(histogram, 64)
