@@ -81,9 +81,13 @@ def _free_of_others(candidates: DataFrame) -> DataFrame:
     return marked.filter(known | F.col("clear")).drop("clear")
 
 
-def ownership(candidates: DataFrame) -> DataFrame:
-    """``digest``, ``repos``, ``owners``: distinct holders of each candidate value."""
-    holders = candidates.select("digest", "repo", "owner").distinct()
+def ownership(candidates: DataFrame, by_text: bool = False) -> DataFrame:
+    """``digest``, ``repos``, ``owners``: distinct holders of each candidate value. With ``by_text``
+    the owner is the text itself, and each distinct text has one repository, the least of its copies'."""
+    if by_text:
+        holders = candidates.groupBy("digest", "owner").agg(F.min("repo").alias("repo"))
+    else:
+        holders = candidates.select("digest", "repo", "owner").distinct()
     return holders.groupBy("digest").agg(
         F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners")
     )
@@ -94,21 +98,25 @@ def scan_secrets(
     id_col: str,
     text_col: str,
     repo_col: str,
-    owner_col: str,
+    owner_col: str | None,
     example_repos: int,
     example_owners: int,
 ) -> DataFrame:
     """Per row ``id`` and ``found``, its spans by start: ``kind``, ``start``, ``end`` (code points, end
     exclusive), ``digest`` of the value, ``repos``, ``owners``, ``verdict``: ``example`` from so
     many repositories or owners on, else ``live`` if it looks random, else ``plain``.
+
+    Tables without owners take None: each distinct text then stands for its owner, so that exact
+    copies of one text, from whatever repositories, are one holder.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    owner = F.sha2(text, 256) if owner_col is None else F.col(f"`{owner_col}`")
     scanned = located(
         stage(
             docs.select(
                 F.col(f"`{id_col}`").alias("id"),
                 F.col(f"`{repo_col}`").alias("repo"),
-                F.col(f"`{owner_col}`").alias("owner"),
+                owner.alias("owner"),
                 *(_found(text, pattern).alias(kind) for kind, pattern in KINDS.items()),
             )
         )
@@ -124,7 +132,10 @@ def scan_secrets(
     example = (F.col("repos") >= example_repos) | (F.col("owners") >= example_owners)
     verdict = F.when(example, "example").when(F.col("looks_live"), "live").otherwise("plain")
     held = attach(
-        candidates, ownership(candidates), "digest", [F.col("file"), F.col("position"), F.col("start")]
+        candidates,
+        ownership(candidates, owner_col is None),
+        "digest",
+        [F.col("file"), F.col("position"), F.col("start")],
     ).withColumn("verdict", verdict)
     kept = held.filter((F.col("order") < len(KINDS) - 1) | (F.col("verdict") == "live"))
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("order") + 1)
@@ -145,13 +156,13 @@ def _listed(spans: Column) -> Column:
     )
 
 
-#: Copied from so many sources, or documents, on, a value is an example.
+#: Found in different texts of so many sources, or in so many different texts, a value is an example.
 EXAMPLE_REPOS, EXAMPLE_OWNERS = 3, 5
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = scan_secrets(docs, "doc_id", "text", "source", "doc_id", EXAMPLE_REPOS, EXAMPLE_OWNERS)
+    found = scan_secrets(docs, "doc_id", "text", "source", None, EXAMPLE_REPOS, EXAMPLE_OWNERS)
 
     def count(field: str, value: str) -> Column:
         return F.size(F.filter("found", lambda s: s[field] == value)).cast("long")

@@ -280,6 +280,18 @@ def test_secrets_held_by_many_are_examples(spark):
     assert verdicts == {**dict.fromkeys(range(5), "example"), 9: "live"}
 
 
+def test_copies_of_one_text_do_not_make_an_example(spark, tmp_path):
+    leaked, token, shown = "AKIA" + "Q7W8E9R2" * 2, "aB3dE5gH7jK9mN1pQ3sT5", "AKIA" + "Z5X4C3V2" * 2
+    rows = [(i, f"key {leaked} and {token}", f"s{i}") for i in range(7)]
+    rows += [(10 + i, f"text {i} has {shown}", "s") for i in range(5)]
+    rows += [(20 + i, f"text {i} has AKIA{'M6N7B8V9' * 2}", f"s{i}") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in secret_scan.op9_secret_scan(spark, str(tmp_path)).collect()}
+    assert {(found[i].n_live, found[i].n_example) for i in range(7)} == {(2, 0)}
+    assert all("live:" in found[i].spans for i in range(7))
+    assert {(r.n_live, r.n_example) for i, r in found.items() if i >= 10} == {(0, 1)}
+
+
 def test_chunk_ends_do_not_depend_on_where_a_passage_stands():
     passage = words(7, 50).encode()
     ends = [
