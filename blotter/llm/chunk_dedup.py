@@ -5,8 +5,9 @@ ends depend on nearby bytes alone and the same passage is cut alike wherever it
 deduplicated by a 128-bit digest over all documents. Neighbouring chunks that also stand in other
 documents make up a repeated passage.
 
-Defined results: a null or empty text has no chunks. Text without a lowest place, such as one
-character over and over, is cut at the greatest length. A chunk repeated only within its own row does
+Defined results: a null or empty text has no chunks. Where the lowest place comes again and again, as in
+a word or a character repeated, every first one over a radius from the last is an end: the chunks are
+whole periods from the same place of the period, alike at any offset. A chunk repeated only within its own row does
 not count; repeated rows are documents of their own. ``first_id`` is the smallest id that holds the
 passage's first chunk, null if none of them has an id. An empty table gives an empty result. Only the
 two named columns are read.
@@ -59,6 +60,22 @@ def _lowest(values: np.ndarray, radius: int) -> np.ndarray:
     return np.minimum(padded[: len(padded) - rest], padded[rest:])[: len(values)] if rest else padded[: len(values)]
 
 
+def _thinned(at: np.ndarray) -> np.ndarray:
+    """``at`` without places that follow a kept one within a radius: such places have equal hashes."""
+    near = np.flatnonzero(np.diff(at) <= RADIUS) + 1
+    if not len(near):
+        return at
+    keep = np.ones(len(at), bool)
+    keep[near] = False
+    opens = np.flatnonzero(keep)
+    closes = np.append(opens[1:], len(at))
+    several = closes - opens > 1
+    for one, close in zip(opens[several].tolist(), closes[several].tolist()):
+        while (one := int(np.searchsorted(at[:close], at[one] + RADIUS, "right"))) < close:
+            keep[one] = True
+    return at[keep]
+
+
 def chunk_ends(raw: np.ndarray) -> np.ndarray:
     """Places after the last byte of each chunk."""
     ends = []
@@ -68,11 +85,13 @@ def chunk_ends(raw: np.ndarray) -> np.ndarray:
         hashed = gear_hash(raw[low:high])
         after = _lowest(hashed, RADIUS)
         before = _lowest(hashed[::-1].copy(), RADIUS)[::-1]
-        at = np.flatnonzero((hashed < after) & (hashed < before)) + low
+        at = np.flatnonzero((hashed <= after) & (hashed <= before)) + low
         ends.append(at[(at >= start) & (at < start + _SPAN)] + 1)
-    natural = np.unique(np.concatenate([*ends, [len(raw)]])) if len(raw) else np.zeros(0, np.int64)
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    natural = np.unique(np.append(_thinned(np.concatenate(ends)), len(raw)))
     starts = np.concatenate([[0], natural[:-1]])
-    if not len(natural) or (natural - starts).max() <= GREATEST:
+    if (natural - starts).max() <= GREATEST:
         return natural
     forced = [np.arange(a + GREATEST, b, GREATEST) for a, b in zip(starts, natural) if b - a > GREATEST]
     return np.unique(np.concatenate([natural, *forced]))
@@ -163,7 +182,8 @@ def repeated_passages(
     )
 
 
-#: A passage of 50 words keeps so many between its first and last end of a chunk.
+#: A passage of 50 words mostly keeps so many between its first and last end of a chunk; of short words,
+#: it may keep fewer and is then not found.
 LEAST_WORDS = 15
 
 

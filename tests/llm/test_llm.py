@@ -323,6 +323,15 @@ def test_passages_of_fifty_words_are_found(spark):
     assert len({r.id for r in found.collect()}) == 120
 
 
+def test_periodic_passages_are_found_at_any_offset(spark):
+    rows = []
+    for i, cell in enumerate(["na ", "word ", "| - ", "no yes ", "longer words "]):
+        for j in range(2):
+            rows.append((2 * i + j, words(6000 + 2 * i + j, 20 + 13 * j) + " " + cell * 110 + words(7000 + 2 * i + j, 20)))
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), 15).collect()
+    assert {r.id for r in found if r.words >= 50} == set(range(10))
+
+
 def test_language_id(spark):
     rows = QUERIES["op2_language_id"](spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
