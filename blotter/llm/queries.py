@@ -3,7 +3,10 @@
 from blotter.llm import (
     chunk_dedup,
     exact_dedup,
+    hard_negatives,
     language_id,
+    lexical_search,
+    minhash,
     mixing,
     packing,
     secret_scan,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_warc_fixity": warc_fixity.op10_warc_fixity,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_minhash": minhash.op13_minhash,
 }
 
 #: Learned scores, the tokenizer, the gear hash and XXH64 are beyond SQL, as is reachability over all
@@ -33,4 +39,7 @@ ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op10_warc_fixity": warc_fixity.ORACLE,
+    "op11_lexical_search": lexical_search.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_minhash": minhash.ORACLE,
 }
