@@ -1,20 +1,25 @@
 r"""MinHash near-duplicates by a multi-index Hamming join.
 
-A text's set of distinct word shingles gets a signature: ``PLACES`` minima of hashes, of which ``BITS`` bits
-are kept. Two signatures are as far apart as they have places that differ. They are split into chunks; if at most
-``FARTHEST`` places differ, some chunk has at most ``FARTHEST // chunks`` of them (pigeonhole). So each
-chunk is sent out once for each choice of that many places left blank, and every pair within the
-distance meets at one of these keys at least. Pairs that meet are held against the distance of
-their signatures, then against their full sets of 64-bit shingle hashes; nothing is linked without that.
+A text's set of distinct word shingles gets a signature: 32 minima of hashes, of which 16 bits are kept. Two
+signatures are as far apart as they have places that differ. They are split into eight chunks of four; if at
+most ``FARTHEST`` = 15 places differ, some chunk has one of them at most (pigeonhole). So each chunk is sent
+out four times, each time with another place left blank, and every pair within the distance meets at one
+of these keys at least. The class of the set's size is part of the key, and a size near the next class
+is sent out for both: sets whose sizes rule the likeness out don't meet. Pairs that meet are held
+against the distance of their signatures, and against a bound: of a set, 1024 bits tell whether an odd
+number of its hashes falls on them, and two sets differ in at least as many hashes as these bits differ. What is
+left is held against the full sets of 64-bit shingle hashes; nothing is linked without that.
 
 A pair whose likeness is 0.85 differs in 15 % of the places on average; that it differs in more than 15 of 32,
 and so doesn't meet, has a chance of 3 in a million, and less above.
 
 Equal sets are one node. Where nodes meet at a key, only links that join different components matter: each round
-holds all of them against one pivot a key, joins what is linked, and takes the pivot out. Keys whose nodes
-are all joined by then are done; near copies in any number are so after a round or two. When the
-pairs that are left are in proportion to the rows, all of them are held against each other. So no link
-between different components is lost, and no round makes more pairs than a few times the rows.
+holds all of them against one pivot a key, joins what is linked, and takes the pivot out. The pivot is the
+node that meets most others at all its keys, in a group of near copies the one nearest to their
+common form. Keys whose nodes are all joined by then are done. When the pairs that are left are in
+proportion to the rows, those of different groups are all held against each other, each pair at the first key
+it shares. So no link between different components is lost. Of s nodes at a key that are linked with nothing, all
+s * s / 2 pairs are held against each other's signatures, by pivots or at the end: any could be a link.
 
 Defined results: a null text, or one without words, has no shingles and is linked with nothing. A text with
 fewer words than a shingle is one shingle. The smallest id of a component ignores null ids; a component of
@@ -24,8 +29,9 @@ result. Only the two named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,17 +46,27 @@ from blotter.llm.components import connected_components
 
 ship(__name__)
 
-#: Places of a signature, bits of each, places of a chunk, and places that may differ.
-PLACES, BITS, CHUNK, FARTHEST = 32, 16, 4, 15
+#: Places of a signature, bits of each, and places that may differ: fewer than twice as many as chunks.
+PLACES, BITS, FARTHEST = 32, 16, 15
 
-#: Pairs that may be held against each other at once, for each row that meets another.
-PAIRS_A_ROW = 8
+#: Places of a chunk, which is a 64-bit number.
+CHUNK = 64 // BITS
+
+#: Bits of a key for the class of a set's size.
+_CLASS_BITS = 7
+
+#: Pairs whose signatures may be held against each other at once, for each row that meets another.
+PAIRS_A_ROW = 512
+
+#: Numbers of 64 bits that hold whether hashes fall on a bit an odd number of times.
+PARITIES = 16
+
+#: Rows of a key that ask others in one task, and pairs held against each other at once.
+_TOGETHER, _AT_ONCE = 4096, 1 << 17
 
 #: Shingles hashed at once, which bounds the memory for a long text.
 _SPAN = 1 << 16
 
-_KEPT = CHUNK - FARTHEST // (PLACES // CHUNK)
-
 #: Odd factors and summands of the hashes, from a rule.
 _RULE = [xxhash.xxh3_64_intdigest(bytes([kind, place])) for kind in (0, 1) for place in range(PLACES)]
 _FACTORS = np.array(_RULE[:PLACES], np.uint64) | np.uint64(1)
@@ -84,36 +100,65 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least & np.uint64((1 << BITS) - 1)).astype("<u2")
 
 
-def keys_of(signatures: np.ndarray) -> np.ndarray:
-    """Keys (row, variant) of signatures (row, place): every chunk with each choice of places left out."""
-    rows, variant, keys = len(signatures), 0, []
-    values = signatures.astype(np.int64)
-    for start in range(0, PLACES, CHUNK):
-        for kept in combinations(range(start, start + CHUNK), _KEPT):
-            key = np.full(rows, variant, np.int64)
-            for place in kept:
-                key = (key << BITS) | values[:, place]
-            keys.append(key)
-            variant += 1
-    return np.stack(keys, axis=1)
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For every bit, by the lowest bits of a hash, whether an odd number of ``hashes`` falls on it."""
+    counts = np.bincount(hashes & (64 * PARITIES - 1), minlength=64 * PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def keys_of(signature: Column) -> Column:
+    """Every chunk, without each of its places in turn: 48 bits, and five above for which it is."""
+    keys = []
+    for at in range(PLACES // CHUNK):
+        chunk = F.get(signature, F.lit(at))
+        for blank in range(CHUNK):
+            below = chunk.bitwiseAND(F.lit((1 << BITS * blank) - 1))
+            above = F.shiftrightunsigned(chunk, BITS * (blank + 1)) if blank < CHUNK - 1 else F.lit(0)
+            which = (CHUNK * at + blank) << BITS * (CHUNK - 1)
+            keys.append(F.shiftleft(above.cast("long"), BITS * blank).bitwiseOR(below).bitwiseOR(F.lit(which)))
+    return F.array(*keys)
+
+
+def size_classes(n: Column, least: int) -> Column:
+    """The class of a set's size, and that of the greatest size it can be linked with. Of sizes that allow the
+    likeness, the class of the greater is among those of the lesser."""
+    reach = math.log(100 / least) + 1e-9
+    classes = F.floor(F.log(n) / (2 * reach)), F.floor((F.log(n) + reach) / (2 * reach))
+    return F.array_distinct(F.array(*classes))
+
 
+def places_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which places (pair, place) of signatures (pair, chunk) differ."""
+    return (a.view("<u2") != b.view("<u2")).reshape(len(a), PLACES)
 
-def _matrix(signatures: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), "<u2").reshape(len(signatures), PLACES)
+
+def first_shared(apart: np.ndarray) -> np.ndarray:
+    """The number of the first key that a pair shares, for every pair with ``apart`` as above."""
+    chunks = apart.reshape(len(apart), PLACES // CHUNK, CHUNK)
+    chunk = (chunks.sum(axis=2) <= 1).argmax(axis=1)
+    return CHUNK * chunk + chunks[np.arange(len(apart)), chunk].argmax(axis=1)
+
+
+def _numbers(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.ascontiguousarray(column.flatten().to_numpy().reshape(len(column), width))
 
 
 def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """``row``, ``id``, ``text``, ``n``, ``digest`` (of the whole set), ``signature`` of every row, written."""
+    """``row``, ``id``, ``text``, ``n``, ``digest`` (of the whole set), ``signature``, ``parities`` of every row, written."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, signatures = [], [], []
+            sizes, digests, signatures, odd = [], [], [], []
             for text in batch.column("text"):
                 hashes = shingle_hashes(text.as_py() or b"", width)
                 sizes.append(len(hashes))
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                signatures.append(signature(hashes).tobytes() if len(hashes) else None)
-            more = pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())
+                signatures.append(signature(hashes).view("<i8") if len(hashes) else None)
+                odd.append(parities(hashes) if len(hashes) else None)
+            kinds = pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())
+            more = (pa.array(x, kind) for x, kind in zip((sizes, digests, signatures, odd), kinds))
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[f.name for f in schema])
 
     read = docs.select(
@@ -122,22 +167,17 @@ def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
         F.col(f"`{text_col}`").cast("binary").alias("text"),
     )
     schema = T.StructType(
-        [*read.schema, T.StructField("n", T.LongType())]
-        + [T.StructField(name, T.BinaryType()) for name in ("digest", "signature")]
+        [
+            *read.schema,
+            T.StructField("n", T.LongType()),
+            T.StructField("digest", T.BinaryType()),
+            T.StructField("signature", T.ArrayType(T.LongType())),
+            T.StructField("parities", T.ArrayType(T.LongType())),
+        ]
     )
     return stage(read.mapInArrow(each, schema))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _keys(signatures: pd.Series) -> pd.Series:
-    return pd.Series(list(keys_of(_matrix(signatures))))
-
-
-@F.pandas_udf(T.IntegerType())
-def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series((_matrix(a) != _matrix(b)).sum(axis=1), dtype="int32")
-
-
 def _sets(width: int):
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -151,21 +191,60 @@ def _like(a: Column, b: Column, shared: Column, least: int) -> Column:
     return 100 * shared >= least * (a + b - shared)
 
 
+_SKETCH = ["n", "signature", "parities"]
+
+
+class _Sketches:
+    """The sketches in some rows of Arrow, whose columns end in ``suffix``."""
+
+    def __init__(self, rows: pa.Table | pa.RecordBatch, suffix: str = ""):
+        self.n = rows.column(f"n{suffix}").to_numpy()
+        self.signature = _numbers(rows.column(f"signature{suffix}"), PLACES // CHUNK)
+        self.parities = _numbers(rows.column(f"parities{suffix}"), PARITIES)
+
+
+def _allowed(n_a: np.ndarray, n_b: np.ndarray, apart: np.ndarray, least: int) -> np.ndarray:
+    """Whether sets of these sizes can be alike enough if so many hashes at least are in one of them only."""
+    n = n_a + n_b
+    return (100 + least) * (n - apart) >= 2 * least * n
+
+
+def _may_be_linked(
+    a: _Sketches, i: np.ndarray, b: _Sketches, j: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of rows ``i`` of ``a`` and ``j`` of ``b``, those that sketches allow to be links (their
+    places), and which places of their signatures differ."""
+    at = np.flatnonzero(_allowed(a.n[i], b.n[j], np.abs(a.n[i] - b.n[j]), least))
+    apart = places_apart(a.signature[i[at]], b.signature[j[at]])
+    close = apart.sum(axis=1) <= FARTHEST
+    at, apart = at[close], apart[close]
+    bits = np.bitwise_count((a.parities[i[at]] ^ b.parities[j[at]]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    allowed = _allowed(a.n[i[at]], b.n[j[at]], bits, least)
+    return at[allowed], apart[allowed]
+
+
 class _Links:
     """Finds which of some pairs of nodes are links."""
 
     def __init__(self, rows: DataFrame, nodes: DataFrame, width: int, least: int):
         self.rows, self.width, self.least = rows, width, least
-        self.sketches = nodes.select("node", "n", "signature")
+        self.sketches = nodes.select("node", *_SKETCH)
 
     def among(self, pairs: DataFrame) -> DataFrame:
         """The pairs (``a`` < ``b``, each once) whose full sets are alike enough, written."""
-        sketched = self._beside(pairs, self.sketches)
-        near = stage(
-            sketched.filter(_like(F.col("n_a"), F.col("n_b"), F.least("n_a", "n_b"), self.least))
-            .filter(_distance("signature_a", "signature_b") <= FARTHEST)
-            .select("a", "b")
-        )
+        least = self.least
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                every = np.arange(batch.num_rows)
+                at, _ = _may_be_linked(_Sketches(batch, "_a"), every, _Sketches(batch, "_b"), every, least)
+                yield batch.select(["a", "b"]).take(pa.array(at))
+
+        return self.confirmed(self._beside(pairs, self.sketches).mapInArrow(each, "a long, b long"))
+
+    def confirmed(self, near: DataFrame) -> DataFrame:
+        """The same of pairs whose sketches allow a link."""
+        near = stage(near)
         wanted = near.select(F.col("a").alias("row")).union(near.select("b")).distinct()
         texts = self.rows.select("row", "text").join(wanted, "row")
         sets = stage(texts.select(F.col("row").alias("node"), _sets(self.width)("text").alias("held")))
@@ -175,13 +254,56 @@ class _Links:
 
     @staticmethod
     def _beside(pairs: DataFrame, of_nodes: DataFrame) -> DataFrame:
-        for side, other in (("a", "b"), ("b", "a")):
-            named = of_nodes.select(
-                F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in of_nodes.columns[1:])
-            )
-            pairs = attach(stage(pairs), named, side, [F.col(other)])
+        """A node of many pairs is left to adaptive skew joins: there is one row for it to repeat."""
+        for side in ("b", "a"):
+            named = (F.col(c).alias(f"{c}_{side}") for c in of_nodes.columns[1:])
+            pairs = pairs.join(of_nodes.select(F.col("node").alias(side), *named), side)
         return pairs
 
+    def of_different_groups(self, left: DataFrame, open_keys: DataFrame) -> DataFrame:
+        """The links between nodes of ``left`` that meet at one of ``open_keys`` and have different labels.
+
+        Of each key, the nodes outside its greatest group meet all: four times the pairs that count, at most. Of a
+        key with many nodes, the former are dealt over several tasks, and the latter repeated.
+        """
+        least = self.least
+        at_keys = _at_keys(left, open_keys.withColumn("of_key", F.col("__rows")), ["greatest", "of_key"])
+        sketched = at_keys.join(self.sketches, "node")
+        salts = F.ceil(F.col("of_key") / _TOGETHER).cast("int")
+        own = F.pmod(F.xxhash64("node"), salts) == F.col("salt")
+        rows = stage(
+            sketched.withColumn("class", F.get(size_classes(F.col("n"), least), F.lit(0)))
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+            .withColumn("asks", own & (F.col("label") != F.col("greatest")))
+            .select("key", "salt", "node", "label", "class", "asks", *_SKETCH)
+        )
+        slots = F.lit(max(1, rows.count() // _TOGETHER))
+
+        def each(found: pa.Table) -> pa.Table:
+            found = found.sort_by([("key", "ascending"), ("salt", "ascending")])
+            sketches = _Sketches(found)
+            key, salt, node, label, kind = (found.column(c).to_numpy() for c in ("key", "salt", "node", "label", "class"))
+            asks = found.column("asks").to_numpy()
+            new = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1])) + 1
+            pairs = [np.zeros((0, 2), np.int64)]
+            for begin, end in zip([0, *new.tolist()], [*new.tolist(), len(key)]):
+                those = np.arange(begin, end)
+                asking = those[asks[begin:end]]
+                for one in range(0, len(asking), step := max(1, _AT_ONCE // (end - begin))):
+                    few = asking[one : one + step]
+                    i, j = np.repeat(few, len(those)), np.tile(those, len(few))
+                    here = (label[i] != label[j]) & (np.maximum(kind[i], kind[j]) == key[i] % (1 << _CLASS_BITS))
+                    i, j = i[here], j[here]
+                    at, apart = _may_be_linked(sketches, i, sketches, j, least)
+                    at = at[first_shared(apart) == key[i[at]] >> _CLASS_BITS + BITS * (CHUNK - 1)]
+                    pairs.append(np.sort(np.stack([node[i[at]], node[j[at]]], axis=1), axis=1))
+            both = np.unique(np.concatenate(pairs), axis=0)
+            return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+        dealt = rows.withColumn("slot", F.pmod(F.xxhash64("key", "salt"), slots))
+        near = dealt.groupBy("slot").applyInArrow(each, "a long, b long")
+        return self.confirmed(near.distinct())
+
 
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
@@ -189,39 +311,49 @@ def _pair(a: str, b: str) -> list[Column]:
 
 def components(rows: DataFrame, nodes: DataFrame, width: int, least: int) -> DataFrame | None:
     """``node``, ``label`` of every node with a link, or None if there are none."""
-    keyed = nodes.select("node", F.col("node").alias("label"), F.explode(_keys("signature")).alias("key"))
-    groups = stage(keyed.groupBy("key").agg(F.count("*").alias("__rows"), *_pivot("node")).filter("__rows > 1"))
-    met = stage(_at_keys(keyed, groups, ["pivot", "pivot_label"]))
+    classes = size_classes(F.col("n"), least)
+    classed = nodes.select(
+        "node", keys_of(F.col("signature")).alias("keys"), F.size(classes).alias("classes"), F.explode(classes).alias("class")
+    )
+    key = F.shiftleft("key", _CLASS_BITS).bitwiseOR(F.col("class")).alias("key")
+    keyed = classed.select("node", "classes", "class", F.explode("keys").alias("key")).select("node", "classes", key)
+    groups = stage(keyed.groupBy("key").agg(F.count("*").alias("__rows")).filter("__rows > 1"))
+    met = stage(_at_keys(keyed, groups.withColumn("others", F.col("__rows")), ["others"]))
+    weights = met.groupBy("node").agg((F.sum("others") / F.first("classes")).alias("weight"))
+    left = stage(met.drop("others", "classes").join(weights, "node").withColumn("label", F.col("node")))
     find = _Links(rows, nodes, width, least)
-    budget = PAIRS_A_ROW * met.count()
-    links, labels = [], None
+    budget = PAIRS_A_ROW * left.count()
+    links, open_keys = [], _open(left)
     while True:
+        met = stage(_at_keys(left, open_keys, ["pivot", "pivot_label"]))
         unlike = met.filter("label <> pivot_label")
-        links.append(find.among(stage(unlike.select(*_pair("node", "pivot")).distinct())))
-        if labels is None or not links[-1].isEmpty():
-            labels = _labels(links)
-        left = met.filter("node <> pivot").select("node", "key")
-        if labels is not None:
-            left = left.join(labels, "node", "left")
-        left = stage(left.withColumn("label", F.coalesce("label", "node") if labels is not None else F.col("node")))
+        links.append(find.among(unlike.select(*_pair("node", "pivot")).distinct()))
+        left = met.filter("node <> pivot").select("node", "key", "weight").join(_neighbours(links), "node", "left")
+        left = stage(left.withColumn("label", F.coalesce("label", "node")))
         open_keys = _open(left)
         pairs = open_keys.agg(F.sum("pairs")).collect()[0][0]
         if not pairs:
-            return labels
+            break
         if pairs <= budget:
+            links.append(find.of_different_groups(left, open_keys))
             break
-        met = stage(_at_keys(left, open_keys, ["pivot", "pivot_label"]))
-    # Of each key, the nodes outside its greatest component against all: at most four times the pairs that count.
-    b = stage(_at_keys(left, open_keys, ["greatest"]))
-    a = b.filter("label <> greatest").select("key", F.col("node").alias("other"), F.col("label").alias("of_other"))
-    rest = a.join(b, "key").filter("label <> of_other").select(*_pair("node", "other")).distinct()
-    links.append(find.among(stage(rest)))
-    return _labels(links)
+    found = _all(links)
+    return None if found.isEmpty() else connected_components(found)
+
+
+def _all(links: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, links)
 
 
-def _pivot(node: str) -> list[Column]:
-    """The least node of a key, and its label."""
-    return [F.min(node).alias("pivot"), F.min_by("label", node).alias("pivot_label")]
+def _neighbours(links: list[DataFrame]) -> DataFrame:
+    """``node`` and ``label``, the least node it is linked with in one or two steps, or itself: nodes of equal
+    labels are joined by links."""
+    found = _all(links)
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nearest = stage(both.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")))
+    nearest = nearest.withColumn("label", F.least("node", "label"))
+    onward = nearest.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    return nearest.join(onward, "label").select("node", F.col("next").alias("label"))
 
 
 def _at_keys(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
@@ -230,24 +362,19 @@ def _at_keys(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _open(left: DataFrame) -> DataFrame:
-    """Keys whose nodes aren't all joined, with their pivot, the label most nodes have, and the number of
+    """Keys whose nodes aren't all joined: ``pivot`` and its label, the label most nodes have, and the number of
     ``pairs`` that aren't joined."""
-    by_label = left.groupBy("key", "label").agg(F.count("*").alias("rows"), F.min("node").alias("first"))
+    heavy = F.max(F.struct("weight", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
+    by_label = left.groupBy("key", "label").agg(F.count("*").alias("rows"), heavy.alias("heavy"))
     by_key = by_label.groupBy("key").agg(
         F.sum("rows").alias("__rows"),
         F.sum(F.col("rows") * F.col("rows")).alias("joined"),
-        F.max_by("label", "rows").alias("greatest"),
-        *_pivot("first"),
+        F.max(F.struct("rows", "label")).alias("greatest"),
+        F.max("heavy").alias("heavy"),
     )
     pairs = ((F.col("__rows") * F.col("__rows") - F.col("joined")) / 2).alias("pairs")
-    return stage(by_key.select("*", pairs).filter("pairs > 0"))
-
-
-def _labels(links: list[DataFrame]) -> DataFrame | None:
-    all_links = links[0]
-    for more in links[1:]:
-        all_links = all_links.unionByName(more)
-    return None if all_links.isEmpty() else connected_components(all_links)
+    found = by_key.select("key", "__rows", "heavy.pivot", "heavy.pivot_label", "greatest.label", pairs)
+    return stage(found.withColumnRenamed("label", "greatest").filter("pairs > 0"))
 
 
 def near_duplicates(
@@ -263,6 +390,7 @@ def near_duplicates(
             F.min("id").alias("least_id"),
             F.first("n").alias("n"),
             F.first("signature").alias("signature"),
+            F.first("parities").alias("parities"),
             F.count("*").alias("__rows"),
         )
     )
