@@ -1,13 +1,17 @@
 r"""Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-A lexicon is learned from one part of the labelled rows: words, and word beginnings, that mark the
-toxic ones. Each text then becomes a few numbers: densities of lexicon and of common insults,
-how many of these stand near a word in the second person, capitals, punctuation, and disguised words.
-Trees learn from another part of the labelled rows, and an isotonic curve, fitted on a third part,
-turns their margin into the share of toxic documents.
+A lexicon is learned from the labelled rows: words, and word beginnings, that mark the toxic ones. Each text
+then becomes a few numbers: densities of lexicon and of common insults, how many of these stand near a
+word in the second person, capitals, punctuation, and disguised words. Trees learn from these numbers, and an
+isotonic curve turns their margin into the share of toxic documents.
+
+No step learns from what it has seen before: for learning, each half of the labelled rows gets its numbers by
+a lexicon of the other half, and the curve is fitted on margins by trees that learned from the other
+folds. So every labelled row serves all three. The lexicon and the trees that score are learned from all.
 
 The labelled rows used are a bounded sample, ``per_class`` of each label, chosen by a hash of the id;
-the curve weighs them by what they stand for. Every text is scored whole.
+the curve weighs them by what they stand for. Equal texts are one row, toxic if one of them is. What is
+learned depends neither on how rows are dealt to tasks nor on their order. Every text is scored whole.
 
 Defined results: a null text is empty; an empty text has all features zero and gets a score as any
 other. A document labelled twice is toxic if any label says so; null ids and null labels teach
@@ -21,6 +25,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -172,7 +177,7 @@ def sample_labels(labels: DataFrame, per_class: int) -> Sample:
     return Sample(stage(rows.withColumn("part", part)), counts[1] / total, True)
 
 
-def learn_lexicon(texts: DataFrame, most: int, least_docs: int = 3, least_g2: float = 15.0) -> dict[str, float]:
+def learn_lexicon(texts: DataFrame, most: int, least_docs: int = 3, least_g2: float = 22.0) -> dict[str, float]:
     """Terms that mark toxic texts, with their log odds: those whose log-likelihood ratio is
     at least ``least_g2``, ``most`` of them. ``texts``: ``text``, ``toxic``, each text once."""
 
@@ -249,27 +254,55 @@ def fit(
         return Scorer({}, None, None, sample.share)
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # 2 * per_class rows of a few numbers each, whatever the input. Each text teaches once.
+    rows = named.join(F.broadcast(sample.rows), "id").withColumn("text", F.coalesce("text", F.lit("")))
     learning = stage(
-        named.join(F.broadcast(sample.rows), "id").dropDuplicates(["text"]).select(
-            "text", "toxic", "weight", "part"
+        rows.groupBy("text").agg(
+            F.max("toxic").alias("toxic"), F.sum("weight").alias("weight"), F.min("part").alias("part")
         )
     )
-    lexicon = learn_lexicon(learning.filter("part < 4"), lexicon_size)
+    lexicon = learn_lexicon(learning, lexicon_size)
     scorer = Scorer(lexicon, None, None, sample.share)
-    ready = stage(scorer.featurize(learning.filter("part >= 4"), "text", "features").drop("text"))
+    halves = learning.filter("part < 4"), learning.filter("part >= 4")
+    by_other = [
+        Scorer(learn_lexicon(other, lexicon_size), None, None, 0.0).featurize(half, "text", "features")
+        for half, other in (halves, halves[::-1])
+    ]
+    # In one order in one task, so that sums of doubles come out alike.
+    order = F.xxhash64("text").alias("order")
+    numbers = by_other[0].unionByName(by_other[1]).select("features", "toxic", "weight", "part", order)
+    ready = stage(numbers.coalesce(1).sortWithinPartitions("order", "toxic", "weight", "part"))
     vectors = ready.withColumn("__vector", array_to_vector("features"))
-    parts = vectors.filter("part < 7"), vectors.filter("part = 7")
-    if any(p.select("toxic").distinct().count() < 2 for p in parts):
-        parts = vectors, vectors  # too few rows to set any apart
-        if vectors.select("toxic").distinct().count() < 2:
-            return scorer
-    trees = GBTClassifier(
-        featuresCol="__vector", labelCol="toxic", maxIter=20, maxDepth=3, stepSize=0.2, seed=7
-    ).fit(parts[0])
-    curve = IsotonicRegression(
+    if vectors.select("toxic").distinct().count() < 2:
+        return scorer
+    trees = _learn_trees(vectors)
+    return Scorer(lexicon, trees, _learn_curve(vectors, trees), sample.share)
+
+
+#: Parts of the labelled rows whose margins come from trees that learned from the others; a leaf of the trees
+#: holds a row in so many toxic ones at least, so that a few odd rows or wrong labels make none.
+FOLDS, LEAF_ONE_IN = 4, 12
+
+
+def _learn_trees(vectors: DataFrame):
+    leaf = max(1, vectors.filter("toxic = 1").count() // LEAF_ONE_IN)
+    return GBTClassifier(
+        featuresCol="__vector", labelCol="toxic", maxIter=20, maxDepth=3, stepSize=0.2, seed=7, minInstancesPerNode=leaf
+    ).fit(vectors)
+
+
+def _learn_curve(vectors: DataFrame, trees):
+    """The share of toxic rows by margin, on margins by trees that haven't seen the row; with too few rows for
+    that, by ``trees``."""
+    fold = F.col("part") % FOLDS
+    margins = []
+    for k in range(FOLDS):
+        others, own = vectors.filter(fold != k), vectors.filter(fold == k)
+        learned = trees if others.select("toxic").distinct().count() < 2 else _learn_trees(others)
+        margins.append(learned.transform(own).select(_margin().alias("__margin"), "toxic", "weight"))
+    together = stage(reduce(DataFrame.unionByName, margins).coalesce(1).sortWithinPartitions("__margin", "toxic", "weight"))
+    return IsotonicRegression(
         featuresCol="__margin", labelCol="toxic", weightCol="weight", predictionCol="__score"
-    ).fit(trees.transform(parts[1]).withColumn("__margin", _margin()))
-    return Scorer(lexicon, trees, curve, sample.share)
+    ).fit(together)
 
 
 #: Labelled rows of each kind that are learned from, and terms of the lexicon, at most.
