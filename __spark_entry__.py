@@ -16,6 +16,7 @@ from blotter.fixtures import StagedFiles
 from blotter.functions.clean import (
     REPORT_TS_PATTERN,
     area_key,
+    parse_int,
     parse_money,
     parse_report_ts,
     strip_leading_zeros,
@@ -26,18 +27,28 @@ from blotter.operators.aggregates import (
     average_income_by_zip,
     count_by_label,
     count_by_month,
+    exact_mean,
+    exact_sum,
     row_count,
 )
 from blotter.operators.filters import has_known_position, in_year, is_firearm, on_street
-from blotter.operators.joins import equi_join, keep_last, restrict_to, unmatched, unmatched_counts
-from blotter.operators.ranking import number_rows, sort_by_count, top_n_per_group
+from blotter.operators.joins import (
+    bitmap_reduced,
+    equi_join,
+    keep_last,
+    restrict_to,
+    unmatched,
+    unmatched_counts,
+)
+from blotter.operators.ranking import number_rows, rank_by_ranges, sort_by_count, top_n_per_group
 from blotter.operators.rejects import drop_rejects, reject_rows, unreadable_rows, unreadable_values
 from blotter.plans import descent, monthly, stations, street
-from blotter.schemas import INCIDENTS
+from blotter.schemas import INCIDENTS, Field
 from blotter.sources.etl import UNREADABLE_COLUMN, csv_to_parquet
 from blotter.sources.incidents import read_incidents, union_years
 from blotter.sources.lines import read_csv_lines
-from blotter.sources.scan import conform, scan
+from blotter.sources.quoted import read_quoted_records
+from blotter.sources.scan import CSV_DIALECT, conform, scan
 from blotter.sources.scratch import new_folder
 from oracles import ORACLES
 
@@ -111,6 +122,19 @@ def union_incident_years(spark, sf_dir):
     return union_years([first, second.select(*reversed(second.columns))])
 
 
+def src_quoted_line_breaks(spark, sf_dir):
+    orders = fx.derive(
+        fx.table(spark, sf_dir, "orders"),
+        {"dr_no": "cast(o_orderkey AS varchar(20))", "remark": fx.REMARK_TEXT, "place": "o_orderstatus"},
+    )
+    path = new_folder(spark) + "/remarks.csv"
+    orders.write.options(header=True, **CSV_DIALECT).csv(path)
+    return read_quoted_records(spark, path, REMARKS)
+
+
+REMARKS = (Field("dr_no", "dr_no", "bigint"), Field("remark", "remark", "string"), Field("place", "place", "string"))
+
+
 # ---- cleaning
 
 
@@ -147,6 +171,19 @@ def clean_area_key(spark, sf_dir):
     )
 
 
+def _coded(spark, sf_dir):
+    return fx.derive(fx.table(spark, sf_dir, "orders"), {"dr_no": "o_orderkey", "code_text": fx.CODE_TEXT})
+
+
+def clean_int_code(spark, sf_dir):
+    return _coded(spark, sf_dir).select("dr_no", parse_int(F.col("code_text")).alias("code"))
+
+
+def flt_firearm_text(spark, sf_dir):
+    coded = _coded(spark, sf_dir).withColumn("weapon_cd", parse_int(F.col("code_text")))
+    return coded.filter(is_firearm(F.col("weapon_cd"))).select("dr_no", "code_text", "weapon_cd")
+
+
 def _coordinate_text(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     return fx.derive(orders, {"dr_no": "o_orderkey", "lat_text": fx.COORDINATE_TEXT})
@@ -246,6 +283,12 @@ def join_station_replicated(spark, sf_dir):
     return _with_stations(spark, sf_dir, "replicate").select("dr_no", "area", "division")
 
 
+def join_bitmap_reduced(spark, sf_dir):
+    facts = fx.incidents(spark, sf_dir).select("dr_no", "lat", "lon")
+    cells = fx.geocode(spark, sf_dir).filter(F.col("zip") % 10 == 1)
+    return equi_join(bitmap_reduced(facts, cells, ["lat", "lon"]), cells, ["lat", "lon"], "merge")
+
+
 def join_keep_last(spark, sf_dir):
     supplier = fx.table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_name")
     return keep_last(supplier, "s_nationkey", [F.col("s_suppkey")])
@@ -286,6 +329,12 @@ def agg_avg_income_by_zip(spark, sf_dir):
     return _rounded(average_income_by_zip(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
 
+def agg_exact_mean(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice") / 7
+    return orders.groupBy("o_orderpriority").agg(exact_sum(price).alias("total"), exact_mean(price).alias("mean"))
+
+
 def agg_row_count(spark, sf_dir):
     return row_count(fx.table(spark, sf_dir, "orders"))
 
@@ -305,6 +354,11 @@ def rank_top_n_large(spark, sf_dir):
     return top_n_per_group(incidents, ["premis"], [F.desc("date_rptd"), F.col("dr_no")], 1001)
 
 
+def rank_top_n_any(spark, sf_dir):
+    incidents = fx.incidents(spark, sf_dir).select("premis", "dr_no", "date_rptd")
+    return rank_by_ranges(incidents, ["premis"], [F.desc("date_rptd"), F.col("dr_no")], 4000)
+
+
 def topk_zip_income(spark, sf_dir):
     return _rounded(descent.top_zips(_geocoded_year_facts(spark, sf_dir)), "avg_income")
 
@@ -427,6 +481,7 @@ _QUERIES = (
     src_csv_text_lines,
     src_mixed_headers,
     src_text_lines_mixed_headers,
+    src_quoted_line_breaks,
     etl_csv_to_parquet,
     etl_keeps_unreadable,
     etl_rejects,
@@ -434,11 +489,13 @@ _QUERIES = (
     clean_report_date,
     clean_money,
     clean_area_key,
+    clean_int_code,
     clean_reject_coords,
     clean_accepted_coords,
     flt_street,
     flt_year,
     flt_firearm,
+    flt_firearm_text,
     flt_valid_coords,
     flt_valid_coords_both,
     map_part_of_day,
@@ -447,6 +504,7 @@ _QUERIES = (
     join_income,
     join_station,
     join_station_replicated,
+    join_bitmap_reduced,
     join_keep_last,
     join_unmatched,
     join_unmatched_areas,
@@ -455,10 +513,12 @@ _QUERIES = (
     agg_count_by_month,
     agg_count_by_label,
     agg_avg_income_by_zip,
+    agg_exact_mean,
     agg_row_count,
     win_row_number,
     rank_top_n_per_group,
     rank_top_n_large,
+    rank_top_n_any,
     topk_zip_income,
     bottomk_zip_income,
     bottomk_zip_known_income,

@@ -99,6 +99,15 @@ STATION_COLUMNS = {
 
 # Text an area, date or coordinate may have in a source file.
 AREA_TEXT = "' ' || lpad(cast(o_custkey % 27 AS varchar(9)), 2, '0') || ' '"
+CODE_TEXT = (
+    "CASE WHEN o_orderkey % 3 <> 0 THEN ' ' || cast(100 + o_orderkey % 420 AS varchar(9))"
+    " || CASE WHEN o_orderkey % 2 = 1 THEN '.0' WHEN o_orderkey % 4 = 2 THEN '.5' ELSE '' END END"
+)
+# A value of several lines.
+REMARK_TEXT = (
+    "'at ' || chr(10) || '\"' || o_orderpriority || '\", order' || chr(13) || chr(10)"
+    " || cast(o_orderkey AS varchar(20))"
+)
 COORDINATE_TEXT = (
     "CASE WHEN o_orderkey % 211 <> 0 THEN '34.05' WHEN o_orderkey % 2 = 1 THEN 'n/a'"
     " WHEN o_orderkey % 4 = 0 THEN '' END"

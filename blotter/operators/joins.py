@@ -44,13 +44,15 @@ def equi_join(
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     part_of: DataFrame | None = None,
     replicate_limit: int | None = None,
+    find_hot: bool = True,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns; each key column appears once in the result.
 
     A key may hold any share of the facts. ``broadcast`` and ``replicate`` do not shuffle facts by
     key alone; the other strategies leave such a key to adaptive skew handling. ``how`` may be
     ``inner``, ``left_semi`` or ``left_anti``. For ``salts``, ``salt_by`` and ``replicate_limit`` see
-    ``_replicate``, which counts the facts by key when it is called.
+    ``_replicate``, which counts the facts by key when it is called. Where ``facts`` are counted by key
+    already, so that no key has many rows, ``find_hot=False`` spares that search: no key is salted then.
     ``broadcast`` measures the lookup when it is called, which runs a job over the lookup. Where the
     lookup takes long to compute and holds only rows of a stored table, pass that table as
     ``part_of``: it is measured instead, as the lookup cannot be larger.
@@ -64,11 +66,13 @@ def equi_join(
         size = measure_bytes(lookup if part_of is None else part_of)
         if size <= broadcast_limit:
             return facts.join(F.broadcast(lookup), keys, how)
+        strategy = "replicate"
+    if strategy == "replicate" and find_hot:
         return _replicate(facts, lookup, keys, how, salts, salt_by, replicate_limit)
+    if strategy == "replicate":
+        strategy = "merge"
     if strategy in ("merge", "shuffle_hash"):
         return facts.join(lookup.hint(strategy), keys, how)
-    if strategy == "replicate":
-        return _replicate(facts, lookup, keys, how, salts, salt_by, replicate_limit)
     raise ValueError(f"unknown strategy {strategy!r}: expected one of {', '.join(STRATEGIES)}")
 
 
@@ -141,6 +145,38 @@ def _hot_keys(facts: DataFrame, keys: list[str], salts: int) -> DataFrame | None
     return facts.sparkSession.createDataFrame(hot, schema)
 
 
+#: Bits of a key bitmap for each key, the greatest number of bits (64 MB), and the bits of one chunk of it.
+BITS_A_KEY, MOST_BITS, _CHUNK_BITS = 16, 1 << 29, 32768
+
+
+def bitmap_reduced(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], bits: int | None = None) -> DataFrame:
+    """The ``facts`` whose key may be in ``lookup``, for a lookup beyond the broadcast limit: an inner or semi join
+    of the result gives the same rows as one of ``facts``, and shuffles little more than what it matches.
+
+    Every key of the lookup sets one bit, by its hash; the bitmap is built in chunks by ``bitmap_construct_agg``
+    and sent to the scan of the facts, where a fact whose bit is not set is dropped. Its size is
+    ``bits``; left out, 16 bits a row of the lookup, counted when this is called, and at most ``MOST_BITS``, however
+    large the lookup grows: then more facts pass, and the join drops them. Facts with a null key match nothing.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    named = reduce(Column.__and__, (F.col(key).isNotNull() for key in keys))
+    if bits is None:
+        bits = min(MOST_BITS, max(_CHUNK_BITS, BITS_A_KEY * lookup.count()))
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    chunks = (
+        lookup.filter(named)
+        .select(at.alias("__at"))
+        .groupBy(F.bitmap_bucket_number("__at").alias("__chunk"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("__at")).alias("__bits"))
+    )
+    place = F.bitmap_bit_position("__at").cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = facts.filter(named).withColumn("__at", at).withColumn("__chunk", F.bitmap_bucket_number("__at"))
+    # At most MOST_BITS / 8 bytes, whatever the lookup.
+    joined = marked.join(F.broadcast(chunks), "__chunk")
+    return joined.filter(F.getbit(byte, place % 8) == 1).select(*(facts[name] for name in facts.columns))
+
+
 def keep_last(lookup: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key, the last one in the order given."""
     rank = "__rank"

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.labels import NO_DESCENT, descent_label
-from blotter.operators.aggregates import average_income_by_zip
+from blotter.operators.aggregates import average_income_by_zip, exact_mean
 from blotter.operators.filters import in_year, without_labels
 from blotter.operators.joins import equi_join
 from blotter.operators.ranking import bottom_k, sort_by_count, top_k
 from blotter.operators.sizing import BROADCAST_LIMIT_BYTES
 
-# A counted place or ZIP has at most one row per descent label, so few salts are enough.
-_SALTS = {"salts": 4, "salt_by": ["descent"]}
+# A counted place or ZIP has at most one row per descent label, so no key has many.
+_COUNTED = {"find_hot": False}
 
 
 def labelled_facts(incidents: DataFrame, year: int) -> DataFrame:
@@ -73,22 +73,27 @@ def zip_profile(
     cells = geocode.groupBy("lat", "lon", "zip").agg(F.count("*").alias("copies"))
     # All income entries of a ZIP meet the same incidents, so weighting by incidents changes nothing.
     incomes = income.groupBy("zip").agg(
-        F.avg("income").alias("avg_income"), F.count("*").alias("entries")
+        exact_mean(F.col("income")).alias("avg_income"), F.count("*").alias("entries")
     )
     by_zip = (
-        equi_join(places, cells, ["lat", "lon"], strategy, **_SALTS)
+        equi_join(places, cells, ["lat", "lon"], strategy, part_of=_with_count(geocode), **_COUNTED)
         .groupBy("zip", "descent")
         .agg(F.sum(F.col("incidents") * F.col("copies")).alias("incidents"))
     )
     # A list holds one entry per label, so its length is bounded however many incidents a ZIP has.
     entry = F.struct("descent", (F.col("incidents") * F.col("entries")).alias("count"))
     return (
-        equi_join(by_zip, incomes, "zip", strategy, **_SALTS)
+        equi_join(by_zip, incomes, "zip", strategy, part_of=_with_count(income), **_COUNTED)
         .groupBy("zip", "avg_income")
         .agg(F.collect_list(entry).alias("descents"))
     )
 
 
+def _with_count(lookup: DataFrame) -> DataFrame:
+    """No smaller than the lookup counted by key, and measured without counting it."""
+    return lookup.withColumn("__count", F.lit(0).cast("bigint"))
+
+
 def zips_at_end(
     profile: DataFrame, end: str, k: int = 3, skip_nulls: bool = False
 ) -> DataFrame:

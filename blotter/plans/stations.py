@@ -11,6 +11,7 @@ from blotter.functions.geo import haversine_km
 from blotter.operators.filters import has_known_position, is_firearm
 from blotter.operators.joins import equi_join, keep_last
 from blotter.operators.ranking import sort_by_count
+from blotter.sources.scratch import staged
 
 _POSITIONS = ("lat", "lon", "y", "x")
 
@@ -63,8 +64,9 @@ def station_distances_repartition(
         .groupBy("area", "lat", "lon")
         .agg(F.count("*").alias("incidents"))
     )
+    # Read once: the search for hot areas and the join both take the counts that are written here.
     joined = equi_join(
-        places, by_area(stations), "area", strategy, salt_by=["lat", "lon"]
+        staged(places), by_area(stations), "area", strategy, salt_by=["lat", "lon"]
     ).filter(_all_known())
     weighted = joined.select(
         "division", "incidents", (distance_to_station() * F.col("incidents")).alias("distance")

@@ -20,16 +20,18 @@ def read_incidents(
     header: Sequence[str] | None = None,
     multi_line: bool = False,
     year: int | None = None,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """All incidents of one or more files or folders, as one typed table. With ``year``, only those
-    reported in it; of a table written ``by_year``, the folders of other years are not opened."""
+    reported in it; of a table written ``by_year``, the folders of other years are not opened.
+    ``unreadable`` names a column more, for the text of values that did not parse (see ``conform``)."""
     parts = [paths] if isinstance(paths, str) else paths
     frames = []
     for path in parts:
         found = scan(spark, path, fmt, header, multi_line)
         if year is not None and fmt == "parquet" and YEAR_COLUMN in found.columns:
             found = found.filter(F.col(YEAR_COLUMN) == year)
-        frames.append(conform(found, INCIDENTS))
+        frames.append(conform(found, INCIDENTS, unreadable=unreadable))
     united = union_years(frames, missing_as_null=True)
     return united if year is None else united.filter(in_year(F.col("date_rptd"), year))
 

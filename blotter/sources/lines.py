@@ -21,21 +21,24 @@ def read_csv_lines(
     paths: str | Sequence[str],
     fields: Sequence[Field] = INCIDENTS,
     header: str | None = None,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """Typed records of text files whose every line is a CSV record.
 
     Each path has a header of its own, and paths are put together by column name. Blank lines and
     every line equal to the path's header are dropped. ``header`` is the first line of all files; left
     out, it is read (one line per path). In a folder, a file with another first line fails the job.
+    ``unreadable`` names a column more, for the text of values that did not parse (see ``conform``). A line
+    whose quotes don't close, part of a record of several lines, fails the job: ``read_quoted_records`` reads those.
     """
     parts = [paths] if isinstance(paths, str) else paths
     return union_years(
-        [_records(spark, path, fields, header) for path in parts], missing_as_null=True
+        [_records(spark, path, fields, header, unreadable) for path in parts], missing_as_null=True
     )
 
 
 def _records(
-    spark: SparkSession, path: str, fields: Sequence[Field], header: str | None
+    spark: SparkSession, path: str, fields: Sequence[Field], header: str | None, unreadable: str | None
 ) -> DataFrame:
     if header is None:
         first = spark.read.text(path).filter(F.trim("value") != "").first()
@@ -54,5 +57,8 @@ def _records(
     schema = ", ".join(
         "`{}` STRING".format(field.name.replace("`", "``")) for field in text_schema(names)
     )
-    record = F.from_csv("value", schema, CSV_DIALECT)
-    return conform(body.select(record.alias("record")).select("record.*"), fields)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    unclosed = F.raise_error(F.concat(F.lit("a quote isn't closed in the line "), F.col("value"))).cast("string")
+    line = F.when(quotes % 2 == 1, unclosed).otherwise(F.col("value"))
+    record = F.from_csv(line, schema, CSV_DIALECT)
+    return conform(body.select(record.alias("record")).select("record.*"), fields, unreadable=unreadable)

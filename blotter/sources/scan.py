@@ -5,6 +5,7 @@ Paths are Hadoop file-system URIs (``hdfs://``, ``s3a://``, ``file:``, or relati
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,9 @@ def scan(
     No types are inferred, so a CSV is never read twice. Without ``header`` the first line of the
     file is read for the names; with it even that is skipped. Either way every file of a folder is
     checked, and one with other columns, or the same in another order, fails the job: read such files
-    as paths of their own. Names that Spark makes up, for blank or repeated headers, can't be checked.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    as paths of their own. Only where a header is blank or repeated, so that Spark makes up a name, can't files be
+    checked. ``multi_line`` allows line breaks inside quotes, at the price of one task per file;
+    ``read_quoted_records`` reads them in parallel.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}: expected one of {', '.join(FORMATS)}")
@@ -43,17 +45,24 @@ def scan(
         return spark.read.parquet(path)
     reader = spark.read.options(header=True, multiLine=multi_line, **CSV_DIALECT)
     if header is None:
-        found = reader.csv(path)
-        if not all(map(_is_own_name, found.columns, range(len(found.columns)))):
-            return found
-        header = found.columns
+        header = None if multi_line else header_of(spark, path)
+        if header is None or not _all_named(header):
+            found = reader.csv(path)
+            if header is not None or not _all_named(found.columns):
+                return found
+            header = found.columns
     return reader.schema(text_schema(header)).option("enforceSchema", False).csv(path)
 
 
-def _is_own_name(name: str, place: int) -> bool:
-    """Not one that Spark may have made from the column's place: ``_c3``, or ``LAT3`` for a repeated
-    header."""
-    return not name.endswith(str(place))
+def header_of(spark: SparkSession, path: str) -> list[str] | None:
+    """The names in the first line of ``path`` that isn't blank, as they are written there."""
+    first = spark.read.text(path).filter(F.trim("value") != "").first()
+    return None if first is None else next(csv.reader([first["value"].removeprefix("\ufeff")]))
+
+
+def _all_named(header: Sequence[str]) -> bool:
+    """No name is blank, and none stands there twice in any case."""
+    return all(name.strip() for name in header) and len({name.lower() for name in header}) == len(header)
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:

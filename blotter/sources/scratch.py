@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -19,3 +19,10 @@ def new_folder(spark: SparkSession) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="blotter-")
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df``, written and read back: what follows doesn't compute it again, also not after a loss of executors."""
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from blotter.fixtures import (
     AREA_TEXT,
+    CODE_TEXT,
     COORDINATE_TEXT,
     GEOCODE_COLUMNS,
     GEOCODE_REPEATED,
@@ -17,6 +18,7 @@ from blotter.fixtures import (
     INCOME_TEXT_EMPTY,
     INCOME_TEXT_MISSING,
     INCOME_ZIP,
+    REMARK_TEXT,
     SPLIT_DATE,
     STATION_COLUMNS,
     YEAR,
@@ -49,6 +51,7 @@ _TABLES = {
     "stations": f"SELECT {select_list(STATION_COLUMNS)} FROM nation",
 }
 
+# Codes of descent and bounds of the parts of the day, as the result names them.
 _DESCENT = """CASE trim(vict_descent)
     WHEN 'B' THEN 'Black' WHEN 'W' THEN 'White' WHEN 'A' THEN 'Other Asian'
     WHEN 'C' THEN 'Chinese' WHEN 'D' THEN 'Cambodian' WHEN 'F' THEN 'Filipino'
@@ -64,6 +67,10 @@ _PART_OF_DAY = """CASE
     WHEN time_occ >= 1700 AND time_occ < 2059 THEN 'Evening'
     ELSE 'Night' END"""
 
+# Codes written as 101 or 101.0; one with a fraction is none.
+_CODE = """CASE WHEN try_cast(trim(code_text) AS double) = floor(try_cast(trim(code_text) AS double))
+    THEN cast(try_cast(trim(code_text) AS double) AS int) END"""
+
 _ARMED = "starts_with(cast(weapon_cd AS varchar), '1')"
 
 
@@ -221,6 +228,38 @@ ORACLES = {
     # filters
     "flt_street": _incidents("dr_no, premis", "premis = 'STREET'"),
     "flt_year": _incidents("dr_no, date_rptd", f"year(date_rptd) = {YEAR}"),
+    "src_quoted_line_breaks": f"""
+        SELECT o_orderkey AS dr_no, {REMARK_TEXT} AS remark, o_orderstatus AS place FROM orders""",
+    "clean_int_code": f"""
+        SELECT dr_no, {_CODE} AS code FROM (SELECT o_orderkey AS dr_no, {CODE_TEXT} AS code_text FROM orders)""",
+    "flt_firearm_text": f"""
+        SELECT dr_no, code_text, {_CODE} AS weapon_cd
+        FROM (SELECT o_orderkey AS dr_no, {CODE_TEXT} AS code_text FROM orders)
+        WHERE starts_with(cast({_CODE} AS varchar), '1')""",
+    "join_bitmap_reduced": _with(
+        "incidents geocode",
+        """SELECT lat, lon, dr_no, zip FROM incidents JOIN geocode USING (lat, lon) WHERE zip % 10 = 1""",
+    ),
+    "agg_exact_mean": f"""
+        SELECT o_orderpriority, total, total / n AS mean FROM (
+            SELECT o_orderpriority, count(price) AS n,
+                cast(sum(cast(a AS hugeint)) AS double) * {2.0**10!r}::DOUBLE
+                + cast(sum(cast(b AS hugeint)) AS double) * {2.0**-30!r}::DOUBLE
+                + cast(sum(cast(floor((rest - b * {2.0**-30!r}::DOUBLE) / {2.0**-70!r}::DOUBLE) AS hugeint)) AS double)
+                * {2.0**-70!r}::DOUBLE AS total
+            FROM (
+                SELECT *, floor(rest / {2.0**-30!r}::DOUBLE) AS b FROM (
+                    SELECT *, floor(price / 1024::DOUBLE) AS a, price - floor(price / 1024::DOUBLE) * 1024::DOUBLE AS rest
+                    FROM (SELECT o_orderpriority, o_totalprice / 7::DOUBLE AS price FROM orders)))
+            GROUP BY o_orderpriority)""",
+    "rank_top_n_any": _with(
+        "incidents",
+        """SELECT * FROM (
+            SELECT premis, dr_no, date_rptd,
+                row_number() OVER (PARTITION BY premis ORDER BY date_rptd DESC, dr_no) AS rank
+            FROM incidents
+        ) WHERE rank <= 4000""",
+    ),
     "flt_firearm": _incidents("dr_no, weapon_cd", _ARMED),
     "flt_valid_coords": _incidents("dr_no, lat, lon", "lat <> 0 AND lon <> 0"),
     "flt_valid_coords_both": _with(
