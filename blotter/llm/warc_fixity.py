@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import stage, table
+from blotter.llm.common import attach, stage, table
 
 FAN_OUT = 16
 
@@ -49,15 +49,29 @@ def record_index(records: DataFrame, *more: Column) -> DataFrame:
 
 
 def archive(index: DataFrame, files: int) -> DataFrame:
-    """Lay out the records of ``index`` in ``files`` files: adds ``file``, ``number``, ``start``, ``end``.
+    """Lay out the records of ``index``, which is read more than once, in ``files`` files: adds ``file``, ``number``,
+    ``start``, ``end``.
 
-    The file comes from a hash of the whole record, the order in it from id and record, so that a
-    file holds about as many different records as any other.
+    The file comes from a hash of the whole record, the order in it from id and record. Records that are
+    there several times are dealt by a number as well, as many numbers as copies, so that a file holds about
+    as many records as any other.
     """
     key = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "hash")
-    hashed = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    keyed = index.withColumn("__key", key)
+    counts = keyed.groupBy("__key").agg(F.count("*").alias("__rows"))
+    repeated = stage(counts.filter("__rows > 1"))
+    dealt_by = F.col("__key")
+    if not repeated.isEmpty():
+        numbered = keyed.withColumn("__at", F.monotonically_increasing_id())
+        copies = repeated.withColumn("__copies", F.col("__rows"))
+        keyed = attach(
+            numbered, copies.select("__key", "__copies"), "__key", [F.col("__at")], "left", counts=repeated
+        )
+        number = F.pmod(F.xxhash64("__at"), F.coalesce("__copies", F.lit(1)))
+        dealt_by = F.when(number == 0, F.col("__key")).otherwise(F.concat_ws(":", "__key", number))
+    hashed = F.conv(F.substring(F.md5(dealt_by), 1, 8), 16, 10).cast("long")
     inside = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "name", "hash")
-    dealt = index.withColumn("file", F.pmod(hashed, F.lit(files)))
+    dealt = keyed.select(*(F.col(f"`{c}`") for c in index.columns), F.pmod(hashed, F.lit(files)).alias("file"))
     placed = dealt.withColumn("number", (F.row_number().over(inside) - 1).cast("long"))
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return placed.withColumn("end", upto).withColumn("start", F.col("end") - F.col("size"))
@@ -191,10 +205,12 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"),
     )
     copy = damage(DAMAGE)
-    index = record_index(
-        records,
-        F.sha2(copy, 256).alias("copy_hash"),
-        F.octet_length(copy).cast("long").alias("copy_size"),
+    index = stage(
+        record_index(
+            records,
+            F.sha2(copy, 256).alias("copy_hash"),
+            F.octet_length(copy).cast("long").alias("copy_size"),
+        )
     )
     archived = stage(archive(index, max(1, -(-pages.count() // FILE_RECORDS))))
     # Offsets stay those of the archive's index.
