@@ -337,14 +337,25 @@ def components(rows: DataFrame, nodes: DataFrame, width: int, least: int) -> Dat
         if pairs <= budget:
             links.append(find.of_different_groups(left, open_keys))
             break
-    found = _all(links)
-    return None if found.isEmpty() else connected_components(found)
+    return None if _all(links).isEmpty() else connected_components(_thinned(links))
 
 
 def _all(links: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, links)
 
 
+def _thinned(links: list[DataFrame]) -> DataFrame:
+    """Fewer links that connect the same nodes: each node to its label, and labels that a link joins, once."""
+    labels = stage(_neighbours(links))
+    pairs = _all(links)
+    for side in ("a", "b"):
+        of_side = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        pairs = pairs.join(of_side, side)
+    between = pairs.filter("label_a <> label_b").select(*_pair("label_a", "label_b")).distinct()
+    own = labels.filter("node <> label").select(*_pair("node", "label"))
+    return stage(own.unionByName(between))
+
+
 def _neighbours(links: list[DataFrame]) -> DataFrame:
     """``node`` and ``label``, the least node it is linked with in one or two steps, or itself: nodes of equal
     labels are joined by links."""
