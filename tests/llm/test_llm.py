@@ -406,7 +406,7 @@ def test_empty_tables(none):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_matches_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = connection.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
