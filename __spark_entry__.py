@@ -42,12 +42,14 @@ from blotter.operators.joins import (
 )
 from blotter.operators.ranking import number_rows, rank_by_ranges, sort_by_count, top_n_per_group
 from blotter.operators.rejects import drop_rejects, reject_rows, unreadable_rows, unreadable_values
-from blotter.plans import descent, monthly, stations, street
+from blotter.plans import descent, monthly, sql_text, stations, street
 from blotter.schemas import INCIDENTS, Field
 from blotter.sources.etl import UNREADABLE_COLUMN, csv_to_parquet
 from blotter.sources.incidents import read_incidents, union_years
+from blotter.sources.ledger import GrowingTable
 from blotter.sources.lines import read_csv_lines
 from blotter.sources.quoted import read_quoted_records
+from blotter.sources.routed import OUTCOME_COLUMN, write_routed
 from blotter.sources.scan import CSV_DIALECT, conform, scan
 from blotter.sources.scratch import new_folder
 from oracles import ORACLES
@@ -109,6 +111,34 @@ def etl_rejects(spark, sf_dir):
     return unreadable_rows(_written(spark, sf_dir)).drop(UNREADABLE_COLUMN)
 
 
+def _grown(spark, sf_dir):
+    """The first file's rows, and the table they are in before the second file comes."""
+    table = GrowingTable(spark, new_folder(spark) + "/incidents")
+    table.add(StagedFiles.of(spark, sf_dir).csv[0])
+    return table
+
+
+def etl_resumed(spark, sf_dir):
+    table = _grown(spark, sf_dir)
+    table.add(StagedFiles.of(spark, sf_dir).csv)
+    return table.read().drop(UNREADABLE_COLUMN)
+
+
+def agg_merged_partials(spark, sf_dir):
+    table = _grown(spark, sf_dir)
+    table.merged("months", count_by_month, "crime_total")
+    table.add(StagedFiles.of(spark, sf_dir).csv)
+    return table.merged("months", count_by_month, "crime_total")
+
+
+def etl_routed(spark, sf_dir):
+    text = scan(spark, StagedFiles.of(spark, sf_dir).all_csv, "csv")
+    typed = conform(text, INCIDENTS, unreadable=UNREADABLE_COLUMN)
+    target = new_folder(spark) + "/incidents.parquet"
+    routed = write_routed(typed, target, F.col(UNREADABLE_COLUMN).isNotNull())
+    return routed.table.select("dr_no", "lat", "lon", OUTCOME_COLUMN)
+
+
 def src_mixed_headers(spark, sf_dir):
     return read_incidents(spark, StagedFiles.of(spark, sf_dir).mixed_csv, "csv")
 
@@ -425,6 +455,25 @@ def q2_dataframe(spark, sf_dir):
     return street.street_by_part_of_day(fx.incidents(spark, sf_dir))
 
 
+def _sql_text(spark, sf_dir, text):
+    sql_text.register(
+        spark, incidents=fx.incidents(spark, sf_dir), stations=fx.stations(spark, sf_dir)
+    )
+    return spark.sql(text)
+
+
+def q1_sql_text(spark, sf_dir):
+    return _sql_text(spark, sf_dir, sql_text.TOP_MONTHS)
+
+
+def q2_sql_text(spark, sf_dir):
+    return _sql_text(spark, sf_dir, sql_text.STREET_BY_PART_OF_DAY)
+
+
+def q4_sql(spark, sf_dir):
+    return _rounded(_sql_text(spark, sf_dir, sql_text.STATION_DISTANCES), "average_distance")
+
+
 def _q3_tables(spark, sf_dir):
     return fx.incidents(spark, sf_dir), fx.geocode(spark, sf_dir), fx.income(spark, sf_dir)
 
@@ -485,6 +534,8 @@ _QUERIES = (
     etl_csv_to_parquet,
     etl_keeps_unreadable,
     etl_rejects,
+    etl_resumed,
+    etl_routed,
     union_incident_years,
     clean_report_date,
     clean_money,
@@ -512,6 +563,7 @@ _QUERIES = (
     join_restrict_to,
     agg_count_by_month,
     agg_count_by_label,
+    agg_merged_partials,
     agg_avg_income_by_zip,
     agg_exact_mean,
     agg_row_count,
@@ -526,15 +578,18 @@ _QUERIES = (
     geo_haversine,
     geo_haversine_float,
     q1_sql,
+    q1_sql_text,
     q1_dataframe,
     q1_csv_source,
     q1_parquet_source,
     q2_sql,
+    q2_sql_text,
     q2_dataframe,
     q3_top_by_year,
     q3_sql,
     q3_bottom_sql,
     q4_dataframe,
+    q4_sql,
     q4_broadcast,
     q4_repartition,
 )

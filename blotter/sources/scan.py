@@ -25,7 +25,7 @@ CSV_DIALECT = {"quote": '"', "escape": '"'}
 
 def scan(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str = "csv",
     header: Sequence[str] | None = None,
     multi_line: bool = False,
@@ -42,7 +42,7 @@ def scan(
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}: expected one of {', '.join(FORMATS)}")
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(*([path] if isinstance(path, str) else path))
     reader = spark.read.options(header=True, multiLine=multi_line, **CSV_DIALECT)
     if header is None:
         header = None if multi_line else header_of(spark, path)
@@ -54,7 +54,7 @@ def scan(
     return reader.schema(text_schema(header)).option("enforceSchema", False).csv(path)
 
 
-def header_of(spark: SparkSession, path: str) -> list[str] | None:
+def header_of(spark: SparkSession, path: str | list[str]) -> list[str] | None:
     """The names in the first line of ``path`` that isn't blank, as they are written there."""
     first = spark.read.text(path).filter(F.trim("value") != "").first()
     return None if first is None else next(csv.reader([first["value"].removeprefix("\ufeff")]))

@@ -193,6 +193,11 @@ ORACLES = {
     "etl_rejects": _incidents(
         "*", "dr_no % 50 <> 0 AND dr_no % 211 = 0 AND dr_no % 2 = 1"
     ),
+    "etl_resumed": _ALL_INCIDENTS,
+    "etl_routed": _incidents(
+        """dr_no, lat, lon, CASE WHEN dr_no % 50 <> 0 AND dr_no % 211 = 0 AND dr_no % 2 = 1
+            THEN 'rejected' ELSE 'good' END AS outcome"""
+    ),
     "union_incident_years": _ALL_INCIDENTS,
     # cleaning
     "clean_report_date": """
@@ -316,6 +321,7 @@ ORACLES = {
     ),
     # aggregates and ranking
     "agg_count_by_month": _with("incidents", "SELECT * FROM months", _MONTHS),
+    "agg_merged_partials": _with("incidents", "SELECT * FROM months", _MONTHS),
     "agg_count_by_label": _with(
         "incidents", f'SELECT {_DESCENT} AS descent, count(*) AS "count" FROM incidents GROUP BY 1'
     ),
@@ -380,10 +386,12 @@ ORACLES = {
     ),
     # analyses
     "q1_sql": _TOP_MONTHS,
+    "q1_sql_text": _TOP_MONTHS,
     "q1_dataframe": _TOP_MONTHS,
     "q1_csv_source": _TOP_MONTHS,
     "q1_parquet_source": _TOP_MONTHS,
     "q2_sql": _STREET_PARTS,
+    "q2_sql_text": _STREET_PARTS,
     "q2_dataframe": _STREET_PARTS,
     "q3_top_by_year": _TOP_DESCENTS,
     "q3_sql": _TOP_DESCENTS,
@@ -394,6 +402,7 @@ ORACLES = {
         for strategy in ("default", "broadcast", "shuffle_hash", "merge", "replicate")
     },
     "q4_dataframe": _stations("true"),
+    "q4_sql": _stations("true"),
     "q4_broadcast": _LAST_STATION_DISTANCES,
     "q4_repartition": _stations(_KNOWN_STATION),
 }
