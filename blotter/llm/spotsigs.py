@@ -7,9 +7,10 @@ looked for; else they count as unlike.
 
 Defined results: a null text is empty; its set is empty, and two empty sets are alike (1). A text
 without anchors takes every word as an anchor; one without words is a single signature of its own.
-Documents come in the order of id, then text, null ids first; the next document after the last is the
-first, so a lone document follows itself. Repeated rows keep their own lines. An empty table gives an
-empty result. Only the two named columns are read.
+Documents come in the order of id, then MD5 of the text, null ids first; the next document after the last
+is the first, so a lone document follows itself. Repeated rows keep their own lines. An empty table gives
+an empty result. Only the two named columns are read. Ids may be of any type that JSON keeps: numbers, text,
+dates. The table is read more than once and must come in the same order each time, as stored tables do.
 """
 
 from __future__ import annotations
@@ -35,8 +36,11 @@ ANCHORS = (
 #: Content words of a signature.
 CHAIN = 2
 
-#: Rows of a bucket in the order of ids, about, and the most buckets.
-_BUCKET_ROWS, _BUCKETS = 8000, 20_000
+#: Buckets a shuffle task, the fewest rows they are made for, and sampled rows a bucket for its bounds.
+_BUCKETS_A_TASK, _BUCKET_ROWS, _SAMPLED = 4, 100, 16
+
+#: What a row costs beside its characters, in characters.
+_ROW_COST = 200
 
 
 def _steps(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -107,33 +111,63 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _ring(docs: DataFrame) -> tuple[DataFrame, Window]:
-    """``docs`` (``id``, ``text``) dealt into buckets of consecutive ids, with the first rows of the
-    next bucket as guests at the end of each, and the first rows of all at the end of the last: so
-    every row's next one is in its bucket. Texts are shuffled once; the bounds of the buckets, ids
-    that occur, are the quantiles of the ids and all that comes to the driver."""
-    seen = docs.agg(F.count("*").alias("rows"), F.min("id").alias("low"), F.count("id").alias("ids"))
-    numbers = seen.collect()[0]
-    buckets = min(_BUCKETS, max(1, numbers["rows"] // _BUCKET_ROWS))
-    shares = [k / buckets for k in range(1, buckets)]
-    cuts = []
-    if shares and numbers["ids"]:
-        found = docs.agg(F.percentile_approx("id", shares, max(10_000, 10 * buckets))).collect()[0][0]
-        cuts = sorted(set(found) - {numbers["low"]})
-    # The order of cuts is known, so counting those that are passed gives the bucket.
-    bounds = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("id"))), F.lit(0))
-    bucket = F.when(F.col("id").isNull(), 0).otherwise(bucket)
-    first = F.col("id").isNull() if numbers["ids"] < numbers["rows"] else F.col("id") == numbers["low"]
-    home = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
-    before = F.struct((bucket - 1).alias("bucket"), F.lit(1).alias("guest"))
-    last = F.struct(F.lit(len(cuts)).alias("bucket"), F.lit(2).alias("guest"))
+    """``docs`` (``id``, ``text``) in buckets that follow each other in the order of the table, with the
+    first row of the next bucket as a guest at the end of each, and the first row of all at the end of
+    the last: so every row's next one is in its bucket.
+
+    The order is that of ``key``: id, digest of the text, number of the row. No two rows share one, so
+    buckets can end anywhere, also among rows with one id, without one, or equal in all. Bounds are keys
+    that occur, taken where a sample's texts add up to equal sizes; rows find their bucket by halving. Texts
+    are shuffled once, in ranges of buckets. As many bounds come to the driver as there are buckets, a few a
+    shuffle task, and a few sampled keys for each.
+    """
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct("id", F.md5("text").alias("digest"), F.monotonically_increasing_id().alias("number"))
+    keyed = docs.select("id", "text", key.alias("key"))
+    seen = keyed.agg(F.count("*").alias("rows"), F.to_json(F.min("key")).alias("low")).collect()[0]
+    buckets = max(1, min(_BUCKETS_A_TASK * tasks, seen["rows"] // _BUCKET_ROWS))
+    cuts = _bounds(keyed, buckets, seen["rows"]) if buckets > 1 else []
+    kind = keyed.schema["key"].dataType.simpleString()
+    bounds = F.from_json(F.lit("[" + ",".join(cuts) + "]"), f"array<{kind}>")
+    halves = F.array(*(F.lit(1 << k) for k in reversed(range(max(1, len(cuts).bit_length())))))
+    passed = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda at, half: F.when(F.get(bounds, at + half - 1) <= F.col("key"), at + half).otherwise(at),
+    )
+    placed = keyed.withColumn("home", passed)
+    # A bound is the first row of its bucket.
+    opens = F.get(bounds, F.col("home") - 1) == F.col("key")
+    first = F.from_json(F.lit(seen["low"]).cast("string"), kind) == F.col("key")
+    place = lambda bucket, guest: F.struct(bucket.alias("bucket"), F.lit(guest).alias("guest"))
     places = F.filter(
-        F.array(home, F.when(F.array_contains(bounds, F.col("id")), before), F.when(first, last)),
-        lambda place: place.isNotNull(),
+        F.array(
+            place(F.col("home"), 0),
+            F.when(opens, place(F.col("home") - 1, 1)),
+            F.when(first, place(F.lit(len(cuts)), 2)),
+        ),
+        lambda one: one.isNotNull(),
     )
-    dealt = docs.select("id", "text", F.explode(places).alias("place"))
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_first(), "text")
-    return dealt.select("id", "text", "place.bucket", "place.guest"), order
+    dealt = placed.select("id", "text", "key", F.explode(places).alias("place"))
+    ranged = dealt.select("id", "text", "key", "place.bucket", "place.guest").repartitionByRange(tasks, "bucket")
+    return ranged, Window.partitionBy("bucket").orderBy("guest", "key")
+
+
+def _bounds(keyed: DataFrame, buckets: int, rows: int) -> list[str]:
+    """Keys as JSON, in order, that part the texts into about equal sizes."""
+    share = min(1.0, _SAMPLED * buckets / rows)
+    chosen = F.pmod(F.xxhash64("key.digest", "key.number"), F.lit(1 << 30)) < int(share * (1 << 30))
+    cost = (F.length("text") + _ROW_COST).alias("cost")
+    sample = keyed.select("key", cost).filter(chosen).orderBy("key")
+    found = sample.select(F.to_json("key").alias("key"), "cost").collect()
+    step = sum(row["cost"] for row in found) / buckets
+    cuts, before, full = [], 0, step
+    for row in found:
+        if before >= full:
+            cuts.append(row["key"])
+            full = before - before % step + step
+        before += row["cost"]
+    return cuts
 
 
 def compare_with_edits(
@@ -178,7 +212,7 @@ _LIST = ", ".join(f"'{word}'" for word in ANCHORS)
 
 ORACLE = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS r
+  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(coalesce(text, ''))) AS r
   FROM documents),
 n AS (
   SELECT d.doc_id, d.r, d.t, e.t AS next, (length(d.t) // 2) AS h

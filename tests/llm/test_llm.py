@@ -220,9 +220,13 @@ def test_patterns_hold_every_piece():
     assert held == histogram
 
 
+def spotsigs_order(row):
+    return row[0] is not None, row[0] or 0, hashlib.md5(row[1].encode()).hexdigest()
+
+
 def test_spotsigs(docs):
     rows = spotsigs.compare_with_edits(docs, 0.1).collect()
-    order = sorted(((r[0], r[1] or "") for r in ROWS), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    order = sorted(((r[0], r[1] or "") for r in ROWS), key=spotsigs_order)
     edited = Counter()
     for (id_, text), (_, following) in zip(order, order[1:] + order[:1]):
         half = len(text) // 2
@@ -244,6 +248,40 @@ def test_spotsigs_buckets(spark, monkeypatch):
     assert all(r.edited.endswith(following[r.id][: len(r.text) // 2]) for r in found)
 
 
+@pytest.mark.parametrize("hot", ["null", "5", "cast(-id AS bigint)"])
+def test_spotsigs_splits_hot_ids_and_equal_rows(spark, hot):
+    docs = spark.range(16000, numPartitions=4).selectExpr(
+        f"if(id % 2 = 0, {hot}, id) AS doc_id",
+        "if(id % 4 = 0, 'the same word here', concat('the word', id, ' is here')) AS text",
+    )
+    ring, _ = spotsigs._ring(docs.selectExpr("doc_id AS id", "text"))
+    sizes = sorted(r["count"] for r in ring.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    order = sorted(((r.doc_id, r.text) for r in docs.collect()), key=spotsigs_order)
+    edited = Counter()
+    for (id_, text), (_, following) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        edited[id_, text[: len(text) - half] + following[:half]] += 1
+    found = spotsigs.compare_with_edits(docs, 0.1).select("id", "edited").collect()
+    assert Counter((r.id, r.edited) for r in found) == edited
+
+
+def test_spotsigs_takes_ids_of_other_types(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "_BUCKET_ROWS", 3)
+    docs = spark.range(50).selectExpr("concat('k', lpad(id, 3, '0')) AS name", "concat('the text ', id) AS body")
+    found = spotsigs.compare_with_edits(docs, 0.1, "name", "body").collect()
+    texts = [f"the text {i}" for i in range(50)]
+    half = [len(text) // 2 for text in texts]
+    expected = {
+        f"k{i:03}": texts[i][: len(texts[i]) - half[i]] + texts[(i + 1) % 50][: half[i]] for i in range(50)
+    }
+    assert {r.id: r.edited for r in found} == expected
+    again = spotsigs.compare_with_edits(
+        docs.selectExpr("date_add(DATE'2020-01-01', cast(right(name, 3) AS int)) AS name", "body"), 0.1, "name", "body"
+    ).collect()
+    assert sorted(r.edited for r in again) == sorted(r.edited for r in found)
+
+
 def test_secret_scan(docs, spark):
     texts = [
         "password=token=abcdefgh", "password: a secret=abcdefg", "token=abc:defghijk", "ééé AKIA" + "A1" * 9,
