@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -44,6 +45,7 @@ from blotter.operators.ranking import number_rows, rank_by_ranges, sort_by_count
 from blotter.operators.rejects import drop_rejects, reject_rows, unreadable_rows, unreadable_values
 from blotter.plans import descent, monthly, sql_text, stations, street
 from blotter.schemas import INCIDENTS, Field
+from blotter.sources.bucketed import bucketed_join, write_bucketed_facts, write_bucketed_lookup
 from blotter.sources.etl import UNREADABLE_COLUMN, csv_to_parquet
 from blotter.sources.incidents import read_incidents, union_years
 from blotter.sources.ledger import GrowingTable
@@ -319,6 +321,16 @@ def join_bitmap_reduced(spark, sf_dir):
     return equi_join(bitmap_reduced(facts, cells, ["lat", "lon"]), cells, ["lat", "lon"], "merge")
 
 
+def join_bucketed(spark, sf_dir):
+    folder, buckets, salts = new_folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions")), 4
+    facts, lookup = (f"{side}_{uuid4().hex}" for side in ("incidents", "stations"))
+    incidents = fx.incidents(spark, sf_dir).select("dr_no", "area")
+    write_bucketed_facts(incidents, facts, "area", buckets, f"{folder}/facts", ["dr_no"], salts)
+    posts = stations.by_area(fx.stations(spark, sf_dir)).select("area", "division")
+    write_bucketed_lookup(posts, lookup, "area", buckets, f"{folder}/lookup", salts)
+    return bucketed_join(spark, facts, lookup, "area")
+
+
 def join_keep_last(spark, sf_dir):
     supplier = fx.table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_name")
     return keep_last(supplier, "s_nationkey", [F.col("s_suppkey")])
@@ -556,6 +568,7 @@ _QUERIES = (
     join_station,
     join_station_replicated,
     join_bitmap_reduced,
+    join_bucketed,
     join_keep_last,
     join_unmatched,
     join_unmatched_areas,

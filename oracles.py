@@ -296,6 +296,10 @@ ORACLES = {
         "incidents stations",
         "SELECT dr_no, area, division FROM incidents JOIN stations ON area = prec",
     ),
+    "join_bucketed": _with(
+        "incidents stations",
+        "SELECT dr_no, area, division FROM incidents JOIN stations ON area = prec",
+    ),
     "join_keep_last": """
         SELECT s_nationkey, s_suppkey, s_name FROM supplier
         WHERE s_suppkey IN (SELECT max(s_suppkey) FROM supplier GROUP BY s_nationkey)""",

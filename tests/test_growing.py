@@ -1,4 +1,4 @@
-"""Ledgers of converted files, counts kept per run, routed writes, and the analyses as SQL text."""
+"""Bucketed joins, ledgers of converted files, counts kept per run, routed writes, and the analyses as SQL text."""
 
 import csv
 
@@ -9,6 +9,7 @@ from blotter import fixtures as fx
 from blotter.operators.aggregates import count_by_label
 from blotter.plans import sql_text
 from blotter.schemas import STATIONS
+from blotter.sources.bucketed import bucketed_join, write_bucketed_facts, write_bucketed_lookup
 from blotter.sources.ledger import GrowingTable
 from blotter.sources.routed import write_routed
 
@@ -152,3 +153,26 @@ def test_sql_distance_of_unknown_and_opposite_points(spark):
     found = spark.sql("SELECT haversine_km(NULL, 0, 0, 180), haversine_km(90, 0, -90, 0), haversine_km(1, 2, 1, 2)")
     assert found.first()[0] is None
     assert found.first()[1:] == (pytest.approx(20015.0868, abs=1e-3), 0.0)
+
+
+def test_bucketed_join_shuffles_nothing_and_splits_a_hot_key(spark, tmp_path):
+    # Key 0 holds half of all rows; some keys are null, some match nothing, some lookup keys repeat.
+    facts = spark.range(4000).selectExpr(
+        "id", "CASE WHEN id % 2 = 0 THEN 0 WHEN id % 101 = 1 THEN NULL ELSE id % 50 END AS area"
+    )
+    posts = [*((k, f"d{k}") for k in range(30)), (0, "again"), (None, "none")]
+    lookup = spark.createDataFrame(posts, "area int, name string")
+    facts = facts.withColumn("area", F.col("area").cast("int"))
+    write_bucketed_facts(facts, "hot_facts", "area", 8, str(tmp_path / "facts"), ["id"], 8)
+    write_bucketed_lookup(lookup, "hot_lookup", "area", 8, str(tmp_path / "lookup"), 8)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        joined = bucketed_join(spark, "hot_facts", "hot_lookup", "area", how)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        expected = facts.join(lookup, "area", how)
+        assert joined.columns == expected.columns
+        assert sorted(map(repr, joined.collect())) == sorted(map(repr, expected.collect()))
+    hot = spark.table("hot_facts").filter("area = 0").select("_metadata.file_name").distinct().count()
+    assert hot >= 4
+    with pytest.raises(ValueError):
+        bucketed_join(spark, "hot_facts", "hot_lookup", "area", "full")
