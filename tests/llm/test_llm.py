@@ -331,16 +331,85 @@ def test_copies_of_one_text_do_not_make_an_example(spark, tmp_path):
 
 
 def test_chunk_ends_do_not_depend_on_where_a_passage_stands():
-    passage = words(7, 50).encode()
-    ends = [
-        {e - len(before) for e in chunk_dedup.chunk_ends(np.frombuffer(before + passage + b" tail" * 20, np.uint8))}
-        for before in (b"", words(8, 13).encode(), b"z" * 500)
-    ]
-    margin = chunk_dedup.WINDOW + chunk_dedup.RADIUS
-    inside = [{e for e in some if margin < e < len(passage) - margin} for some in ends]
+    passage = words(7, 80)
+    ends = []
+    for before in ("", words(8, 13) + "\n", "z" * 500 + "  "):
+        cut = chunk_dedup.Words(f"{before}{passage} {'tail ' * 20}".encode()).chunk_ends() - len(before.split())
+        ends.append({int(e) for e in cut})
+    low, high = chunk_dedup.WINDOW // 2 - 1 + chunk_dedup.REACH, 79 - chunk_dedup.REACH
+    inside = [{e for e in some if low <= e <= high} for some in ends]
     assert inside[0] == inside[1] == inside[2] and inside[0]
 
 
+def passages_of(rows, least):
+    """All runs of windows that stand in several rows: id, start, end, words, first id, copies."""
+    places, seen, copies = [], defaultdict(set), Counter()
+    for row, (_, text) in enumerate(rows):
+        places.append([(m.start(), m.end(), m.group()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")])
+        for at in range(len(places[row]) - least + 1):
+            window = tuple(w for _, _, w in places[row][at : at + least])
+            seen[window].add(row)
+            copies[window] += 1
+    out = Counter()
+    for row, (id_, _) in enumerate(rows):
+        found, run = places[row], []
+        for at in range(len(found) - least + 2):
+            window = tuple(w for _, _, w in found[at : at + least]) if at <= len(found) - least else None
+            if window and len(seen[window]) > 1:
+                run.append((at, window))
+            elif run:
+                ids = [rows[r][0] for r in seen[run[0][1]] if rows[r][0] is not None]
+                end = run[-1][0] + least - 1
+                most = max(copies[w] for _, w in run)
+                out[id_, found[run[0][0]][0], found[end][1], len(run) + least - 1, min(ids, default=None), most] += 1
+                run = []
+    return out
+
+
+def short_words(rng, n, longest):
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, longest))) for _ in range(n))
+
+
+def check_passages(spark, rows, least):
+    found = chunk_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), least)
+    columns = ["id", "start", "end", "words", "first_id", "copies"]
+    expected = passages_of(rows, least)
+    assert Counter(map(tuple, found.select(*columns).collect())) == expected
+    return expected
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3, 5, 9])
+def test_passages_equal_brute_force(spark, longest):
+    """Of 20 to 80 words with different neighbours, overlapping, in three rows, and with other white space."""
+    rng, rows = random.Random(longest), []
+    for i in range(120):
+        n = rng.choice([20, 40, 48, 49, 50, 51, 52, 60, 80])
+        passage = short_words(rng, n, longest)
+        parts = passage.split()
+        sides = [short_words(rng, rng.randint(0, 90), longest) for _ in range(6)]
+        rows.append((3 * i, f"{sides[0]} {passage} {sides[1]}"))
+        rows.append((3 * i + 1, f"{sides[2]}\n\t{'  '.join(parts)} {sides[3]}"))
+        if i % 3 == 0:
+            rows.append((None if i % 2 else 3 * i + 2, f"{sides[4]} {' '.join(parts[5:])} {sides[5]} é日 {' '.join(parts[:-3])}"))
+    expected = check_passages(spark, rows, 50)
+    assert len(expected) > 60 and min(k[3] for k in expected) == 50
+
+
+def test_passages_of_edge_rows(docs, spark):
+    check_passages(spark, [(r[0], r[1]) for r in ROWS], 50)
+    one = words(31, 70)
+    check_passages(spark, [(1, one), (1, one), (2, f"{one} {one}"), (3, f"{words(32, 60)} " * 2), (4, "a " * 200), (5, "b a " * 99)], 50)
+    check_passages(spark, [(1, "na " * 120), (2, "x" + " na" * 90), (None, "na"), (4, " \n "), (5, "z" * 70_000)], 50)
+
+
+def test_passages_of_texts_over_a_span(spark, monkeypatch):
+    monkeypatch.setattr(chunk_dedup, "_SPAN", 64)
+    monkeypatch.setattr(chunk_dedup, "_ROWS", 10)
+    rng = random.Random(5)
+    one = short_words(rng, 300, 6)
+    check_passages(spark, [(1, one), (2, f"{short_words(rng, 70, 30)} {one}"), (3, short_words(rng, 400, 4))], 50)
+
+
 def test_repeated_passages(docs, spark):
     found = chunk_dedup.repeated_passages(docs, 15).collect()
     assert {3, 4, 5, 8} <= {r.id for r in found}
