@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.common import attach, ship, stage, table
+from blotter.operators.joins import bitmap_reduced
 
 ship(__name__)
 
@@ -241,22 +242,43 @@ def repeated_passages(
     groups = found.groupBy(*_DIGEST).agg(*rows, F.count("*").alias("copies"), F.min("id").alias("first_id"))
     repeated = stage(groups.filter(several).select(*_DIGEST, "copies", "first_id"))
     counts = repeated.select(*_DIGEST, F.col("copies").alias("__rows"))
-    held = attach(found, repeated, _DIGEST, [F.col("row"), F.col("at")], counts=counts)
+    # Only what tells where windows stand is shuffled for all of them.
+    held = attach(
+        found.select(*_DIGEST, "row", "at"),
+        repeated.select(*_DIGEST, "copies"),
+        _DIGEST,
+        [F.col("row"), F.col("at")],
+        counts=counts,
+    )
     # Numbers of windows that follow each other minus their rank stay the same.
     along = Window.partitionBy("row").orderBy("at")
-    runs = held.withColumn("run", F.col("at") - F.row_number().over(along))
-    passages = runs.groupBy("row", "run").agg(
-        F.first("id").alias("id"),
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        (F.count("*") + (least_words - 1)).alias("words"),
-        F.min(F.struct("at", "first_id")).alias("opening"),
-        F.max("copies").alias("copies"),
+    runs = held.select("row", "at", "copies").withColumn("run", F.col("at") - F.row_number().over(along))
+    passages = stage(
+        runs.groupBy("row", "run").agg(
+            F.min("at").alias("opens"),
+            F.max("at").alias("closes"),
+            (F.count("*") + (least_words - 1)).alias("words"),
+            F.max("copies").alias("copies"),
+        )
     )
-    first_id = F.col("opening.first_id")
-    return passages.select(
-        "id", "start", "end", "words", first_id.alias("first_id"), "copies",
-        F.coalesce(F.col("id") == first_id, F.lit(False)).alias("first"),
+    return _placed(passages, found, repeated)
+
+
+def _placed(passages: DataFrame, found: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Passages with what their first and last windows hold. A bitmap of these windows drops nearly all others where
+    they are read."""
+    opens = passages.select("row", F.col("opens").alias("at"))
+    edges = opens.unionByName(passages.select("row", F.col("closes").alias("at")))
+    edge = stage(bitmap_reduced(found, edges, ["row", "at"]).join(edges, ["row", "at"], "left_semi"))
+    first = edge.select("row", F.col("at").alias("opens"), "id", "start", *_DIGEST)
+    last = edge.select("row", F.col("at").alias("closes"), "end")
+    placed = stage(passages.join(first, ["row", "opens"]).join(last, ["row", "closes"]))
+    opening = bitmap_reduced(repeated.select(*_DIGEST, "first_id"), placed.select(*_DIGEST), _DIGEST)
+    # Any number of passages may begin with the same window.
+    named = attach(placed, opening, _DIGEST, [F.col("row"), F.col("opens")])
+    return named.select(
+        "id", "start", "end", "words", "first_id", "copies",
+        F.coalesce(F.col("id") == F.col("first_id"), F.lit(False)).alias("first"),
     )
 
 
