@@ -268,8 +268,9 @@ def _placed(passages: DataFrame, found: DataFrame, repeated: DataFrame) -> DataF
     """Passages with what their first and last windows hold. A bitmap of these windows drops nearly all others where
     they are read."""
     opens = passages.select("row", F.col("opens").alias("at"))
-    edges = opens.unionByName(passages.select("row", F.col("closes").alias("at")))
-    edge = stage(bitmap_reduced(found, edges, ["row", "at"]).join(edges, ["row", "at"], "left_semi"))
+    edges = opens.unionByName(passages.select("row", F.col("closes").alias("at"))).distinct()
+    # An inner join: Spark would move a semi join before the bitmap and shuffle all windows.
+    edge = stage(bitmap_reduced(found, edges, ["row", "at"]).join(edges, ["row", "at"]))
     first = edge.select("row", F.col("at").alias("opens"), "id", "start", *_DIGEST)
     last = edge.select("row", F.col("at").alias("closes"), "end")
     placed = stage(passages.join(first, ["row", "opens"]).join(last, ["row", "closes"]))
