@@ -46,7 +46,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: The learned scores and the tokenizer are beyond SQL; tests hold the stages against plain Python.
+#: The learned scores and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
